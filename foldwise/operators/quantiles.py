@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark import StorageLevel
 
 ALL = -1  # scope id meaning "every row"
 _DIGIT_BITS = 16
@@ -151,7 +152,17 @@ def quantiles(
     Returns {(column, scope, prob): value}; scope ALL = every row, scope f =
     rows whose ``fold_col`` differs from f.  NULLs are skipped; an empty scope
     yields None."""
-    long_df = long_form(df, cols, fold_col)
+    # the long table is scanned once for counts and once per radix pass: keep
+    # it on the executors (memory, spilling to disk; lost blocks are recomputed
+    # from lineage) instead of re-running the upstream plan five times
+    long_df = long_form(df, cols, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _quantiles(long_df, cols, probs, fold_col, folds, include_all)
+    finally:
+        long_df.unpersist()
+
+
+def _quantiles(long_df, cols, probs, fold_col, folds, include_all):
     counts = _scope_counts(long_df, folds if fold_col else None)
     scopes = ([ALL] if include_all else []) + list(folds or [])
     targets: dict[tuple[str, int, int], None] = {}
