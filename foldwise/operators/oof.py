@@ -122,7 +122,8 @@ def _loo_sse(p: int, t: int, alphas: np.ndarray, specs: dict):
 # ---------------------------------------------------------------- linear family
 def fit_linear(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]],
                full: PrepModel, per_fold: dict[int, PrepModel], cfg: OOFConfig,
-               scopes: Sequence[int] | None = None, want: Sequence[str] = models.LINEAR) -> tuple[list[LinearFit], list[float]]:
+               scopes: Sequence[int] | None = None, want: Sequence[str] = models.LINEAR,
+               ridge_alphas: Sequence[float] | None = None, fold_col: str = "fold") -> tuple[list[LinearFit], list[float]]:
     """Coefficients of every linear candidate for every scope (a fold's training
     rows, or ALL rows for the final model).  ``df`` carries ``fold``."""
     want = [m for m in models.LINEAR if m in want]
@@ -131,7 +132,7 @@ def fit_linear(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[s
     centre = [float(stats[c].median) if c in stats and stats[c].median is not None else 0.0 for c in features]
     ycols = [log_target(name, use_log).alias(f"__y{i}") for i, (name, use_log) in enumerate(targets)]
     inner = (stable_hash(ID, cfg.seed + 7) % cfg.inner_folds).cast("int")
-    base = df.select(ID, F.col("fold").cast("int").alias("fold"), *[F.col(c).cast("double").alias(c) for c in features], *ycols)
+    base = df.select(ID, F.col(fold_col).cast("int").alias("fold"), *[F.col(c).cast("double").alias(c) for c in features], *ycols)
     cells = base.withColumn("__cell", F.col("fold") * F.lit(cfg.inner_folds) + inner)
     mom = gram.moments(cells, features, [f"__y{i}" for i in range(t)], "__cell", centre)
     k = cfg.k
@@ -169,7 +170,7 @@ def fit_linear(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[s
             if "elastic_net" in want:
                 fits.append(_enet(mom, d, tmat, p, ti, name, s, cell_ids, cfg))
     if "ridge" in want:
-        alphas = gram.RIDGE_ALPHAS
+        alphas = np.asarray(ridge_alphas if ridge_alphas is not None else gram.RIDGE_ALPHAS, dtype=np.float64)
         sse = (
             base.select("fold", *features, *[f"__y{i}" for i in range(t)]).mapInArrow(_loo_sse(p, t, alphas, {"centre": np.asarray(centre), "fits": ridge_specs}),
                             "scope int, target int, alpha int, sse double")
@@ -200,7 +201,7 @@ def _enet(mom, d, tmat, p, ti, name, s, cell_ids, cfg) -> LinearFit:
             dtr = gram.design(mom.total(tr_cells), tmat, p, d.mean_y.shape[0])
             va = mom.total(va_cells)
             n_va = va[2 * p, 2 * p]
-            w_path = gram.enet_path(dtr.gram[np.ix_(idx, idx)], dtr.xty[idx, ti], dtr.n, alphas, r)
+            w_path = gram.enet_path(dtr.gram[np.ix_(idx, idx)], dtr.xty[idx, ti], dtr.n, alphas, r, dtr.yty[ti, ti])
             for ai in range(len(alphas)):
                 w = np.zeros(p)
                 w[idx] = w_path[:, ai]
@@ -211,7 +212,7 @@ def _enet(mom, d, tmat, p, ti, name, s, cell_ids, cfg) -> LinearFit:
             best = (mse[ai], r, alphas[ai])
     _, r, a = best
     w = np.zeros(p)
-    w[idx] = gram.enet_path(d.gram[np.ix_(idx, idx)], d.xty[idx, ti], d.n, [a], r)[:, 0]
+    w[idx] = gram.enet_path(d.gram[np.ix_(idx, idx)], d.xty[idx, ti], d.n, [a], r, d.yty[ti, ti])[:, 0]
     b0 = d.mean_y[ti] - d.mean_x @ w
     return LinearFit(s, name, "elastic_net", gram.raw_coefficients(d, w, b0).tolist(), {"alpha": float(a), "l1_ratio": r})
 

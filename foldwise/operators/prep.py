@@ -207,6 +207,54 @@ def fit_folds(df: DataFrame, fold_col: str, folds: Sequence[int], *, schema: Pre
     return out
 
 
+def fit_with_folds(df: DataFrame, fold_col: str, folds: Sequence[int], *, exclude: Sequence[str] = (),
+                   features: Sequence[str] | None = None, missing_threshold: float = DEFAULT_MISSING_THRESHOLD,
+                   frozen: bool = True) -> tuple[PrepModel, dict[int, PrepModel]]:
+    """M1 + M2 (or M6 with ``frozen=False``) from one set of passes: the full fit
+    is the ALL scope of the same statistics."""
+    cols = list(features) if features is not None else feature_candidates(df, exclude)
+    st = _scope_stats(df, cols, fold_col, folds)
+    stats = {c: st[(ALL, c)] for c in cols}
+    kept, dropped = _screen(stats, cols, missing_threshold)
+    full = PrepModel(kept, dropped, {c: stats[c] for c in kept}, missing_threshold, ALL, {c: stats[c] for c in dropped})
+    per = {}
+    for f in folds:
+        fs = {c: st[(f, c)] for c in cols}
+        if frozen:
+            k_f, d_f = list(kept), list(dropped)
+        else:
+            k_f, d_f = _screen(fs, cols, missing_threshold)
+        per[f] = PrepModel(k_f, d_f, {c: fs[c] for c in k_f}, missing_threshold, f, {c: fs[c] for c in cols if c not in k_f})
+    return full, per
+
+
+def fit_scalers(df: DataFrame, cols: Sequence[str], fold_col: str | None = None, folds: Sequence[int] = ()) -> tuple[PrepModel, dict[int, PrepModel]]:
+    """Standard scalers only (mean, population std) for NULL-free columns, e.g.
+    base-model predictions at the meta level: two aggregate passes, no medians."""
+    fold = F.col(fold_col).cast("int") if fold_col else F.lit(0)
+    centre = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first().asDict()
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(cols):
+        d = F.col(c).cast("double") - F.lit(centre[c] or 0.0)
+        aggs += [F.count(F.col(c)).alias(f"n{i}"), F.sum(d).alias(f"s{i}"), F.sum(d * d).alias(f"q{i}")]
+    per_fold = {r["__fold"]: r for r in df.groupBy(fold.alias("__fold")).agg(*aggs).collect()}
+
+    def model(skip):
+        stats = {}
+        n = sum(r["__rows"] for f, r in per_fold.items() if f != skip)
+        for i, c in enumerate(cols):
+            s1 = sum((r[f"s{i}"] or 0.0) for f, r in per_fold.items() if f != skip)
+            s2 = sum((r[f"q{i}"] or 0.0) for f, r in per_fold.items() if f != skip)
+            cnt = sum(r[f"n{i}"] for f, r in per_fold.items() if f != skip)
+            mean_dev = s1 / n
+            var_pop = max(s2 / n - mean_dev * mean_dev, 0.0)
+            stats[c] = FeatureStats(c, n, cnt, None, (centre[c] or 0.0) + mean_dev, math.sqrt(var_pop),
+                                    var_pop * n / (n - 1) if n > 1 else None)
+        return PrepModel(list(cols), [], stats, 1.0, ALL if skip is None else skip)
+
+    return model(None), {f: model(f) for f in folds}
+
+
 def missing_ratios(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A2: share of NULL per column, one aggregate, long output (column, missing_ratio)."""
     agg = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols])

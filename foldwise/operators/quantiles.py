@@ -107,21 +107,21 @@ def select_ranks(long_df: DataFrame, targets: dict[tuple[str, int, int], None] |
             digit = F.shiftright(F.col("key"), shift).bitwiseAND(F.lit((1 << _DIGIT_BITS) - 1))
         tgt_rows = [(f, s, r, st[0], st[1]) for (f, s, r), st in state.items()]
         tgt = spark.createDataFrame(tgt_rows, "feature string, scope int, rank long, prefix long, rem long")
-        wanted = tgt.select("feature", "prefix").distinct()
+        wanted = spark.createDataFrame(sorted({(f, st[0]) for (f, _s, _r), st in state.items()}), "feature string, prefix long")
+        scope_ids = sorted({s for (_f, s, _r) in state})
         hist = (
             keyed.select("feature", "fold", prefix.alias("prefix"), digit.alias("digit"))
             .join(F.broadcast(wanted), ["feature", "prefix"], "left_semi")
             .groupBy("feature", "prefix", "fold", "digit")
             .agg(F.count(F.lit(1)).alias("cnt"))
         )
-        # count per scope: every fold (ALL), or every fold but the scope's own,
-        # i.e. the total minus the own fold's count (equi-joins only)
-        tot = hist.groupBy("feature", "prefix", "digit").agg(F.sum("cnt").alias("tot"))
-        own = hist.select("feature", "prefix", "digit", F.col("fold").alias("scope"), F.col("cnt").alias("own"))
+        # every histogram row counts for scope ALL and for each scope f that is
+        # not its own fold: explode the (small) histogram into its scopes
+        scopes = F.filter(F.array(*[F.lit(x) for x in scope_ids]), lambda x: (x == F.lit(ALL)) | (x != F.col("fold")))
         in_scope = (
-            tot.join(F.broadcast(tgt.select("feature", "prefix", "scope").distinct()), ["feature", "prefix"])
-            .join(own, ["feature", "prefix", "digit", "scope"], "left")
-            .select("feature", "prefix", "scope", "digit", (F.col("tot") - F.coalesce(F.col("own"), F.lit(0))).alias("cnt"))
+            hist.select("feature", "prefix", "digit", "cnt", F.explode(scopes).alias("scope"))
+            .groupBy("feature", "prefix", "scope", "digit")
+            .agg(F.sum("cnt").alias("cnt"))
         )
         w = Window.partitionBy("feature", "scope", "rank").orderBy("digit")
         picked = (
