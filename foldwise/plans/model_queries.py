@@ -12,6 +12,7 @@ from foldwise.operators import blend, folds, gram, metrics, models, oof, prep
 from foldwise.operators.quantiles import ALL
 from foldwise.plans.core_queries import FEATURES, _cte, _oof_sql, assay_features, assay_oof
 from foldwise.plans.registry import register
+from foldwise.session import cut_lineage
 from foldwise.plans.rounding import sig, sql_sig
 from foldwise.sources import views
 from foldwise.sources.views import ID, LOG_TARGETS, TARGETS
@@ -128,7 +129,8 @@ def _linear_oof(sf_dir: str, spark_id: int):
     tr = fold_frame(spark, sf_dir)
     fits, centre = _linear(sf_dir, spark_id)
     lin = oof.apply_linear(tr, [f for f in fits if f.scope != ALL], FEATURES, centre, TARGET_SPECS, "floored", "fold")
-    return lin
+    # the OOF table is the materialisation point: cut the lineage into the shared checkpoint folder
+    return cut_lineage(lin)
 
 
 def _rmse_table(o: DataFrame) -> DataFrame:

@@ -26,7 +26,9 @@ def register(name: str, sql: str | None = None):
 
 def _load() -> None:
     # importing the modules registers their queries
-    from foldwise.plans import core_queries, fold_prep_queries, group_queries, model_queries, profile_queries  # noqa: F401
+    from foldwise.plans import (  # noqa: F401
+        core_queries, diag_queries, fold_prep_queries, group_queries, model_queries, profile_queries,
+    )
 
 
 def queries() -> dict[str, QueryFn]:
