@@ -317,6 +317,27 @@ def tree_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str
     return out
 
 
+def tree_oof_spec(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]],
+                  per_fold: dict[int, PrepModel], cfg: OOFConfig, spec: models.TreeSpec) -> DataFrame:
+    """OOF predictions of one explicit tree spec (folds fitted sequentially)."""
+    parts = []
+    for f in range(cfg.k):
+        vec = _to_vector(_imputed_vector(features, per_fold[f]))
+        for name, use_log in targets:
+            framed = df.select(ID, F.col("fold").cast("int").alias("fold"), F.col(name).cast("double").alias("y"),
+                               log_target(name, use_log).alias("__y"), vec.alias("__v"))
+            tr, va = framed.filter(F.col("fold") != f), framed.filter(F.col("fold") == f)
+            seed = cfg.seed + f if cfg.seed_policy == "plus_fold" else cfg.seed
+            model = fit_tree_fold(tr, va, spec, seed)
+            parts.append(model.transform(va).select(ID, F.lit(name).alias("target"), F.lit(spec.name).alias("model"),
+                                                    F.lit(f).alias("fold"), "y",
+                                                    _inverse(F.col("prediction"), use_log, cfg.inverse).alias("pred")))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
 def collect_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]], full: PrepModel,
                 per_fold: dict[int, PrepModel], cfg: OOFConfig) -> tuple[DataFrame, list[LinearFit], list[float]]:
     """The long OOF table of every requested candidate."""

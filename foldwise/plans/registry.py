@@ -27,7 +27,7 @@ def register(name: str, sql: str | None = None):
 def _load() -> None:
     # importing the modules registers their queries
     from foldwise.plans import (  # noqa: F401
-        core_queries, diag_queries, fold_prep_queries, group_queries, model_queries, profile_queries,
+        core_queries, diag_queries, fold_prep_queries, group_queries, model_queries, profile_queries, program_queries,
     )
 
 
