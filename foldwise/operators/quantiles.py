@@ -15,6 +15,11 @@ the exact k-th value by radix selection:
 Per-fold complements ("all rows with fold <> f") come from one histogram
 grouped by fold: the complement count is the total minus the fold's own.
 Only O(#features x #scopes x #ranks) rows ever reach the driver.
+
+The first pass counts the values of every (feature, scope).  When every
+such group is provably small (<= ``spark.foldwise.exactQuantile.inMemoryLimit``
+values, default 1,000,000) one ``percentile`` aggregate finishes the job
+exactly; above the limit the radix selection runs.  ``method`` forces one.
 """
 
 from __future__ import annotations
@@ -146,6 +151,7 @@ def quantiles(
     fold_col: str | None = None,
     folds: Sequence[int] | None = None,
     include_all: bool = True,
+    method: str = "auto",
 ) -> dict[tuple[str, int, float], float | None]:
     """Exact linear-interpolation quantiles (pandas / DuckDB ``quantile_cont``).
 
@@ -157,14 +163,40 @@ def quantiles(
     # from lineage) instead of re-running the upstream plan five times
     long_df = long_form(df, cols, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _quantiles(long_df, cols, probs, fold_col, folds, include_all)
+        return _quantiles(long_df, cols, probs, fold_col, folds, include_all, method)
     finally:
         long_df.unpersist()
 
 
-def _quantiles(long_df, cols, probs, fold_col, folds, include_all):
+IN_MEMORY_LIMIT_CONF = "spark.foldwise.exactQuantile.inMemoryLimit"
+DEFAULT_IN_MEMORY_LIMIT = 1_000_000
+
+
+def _in_memory(long_df, cols, probs, scopes) -> dict[tuple[str, int, float], float | None]:
+    """Exact quantiles with Spark's ``percentile`` aggregate, one job for every
+    scope: used only when the count pass proved each (feature, scope) group
+    holds at most the configured number of values."""
+    aggs = []
+    for s in scopes:
+        v = F.col("value") if s == ALL else F.when(F.col("fold") != s, F.col("value"))
+        aggs.append(F.percentile(v, F.array(*[F.lit(float(q)) for q in probs])).alias(f"s{s + 1}"))
+    rows = long_df.groupBy("feature").agg(*aggs).collect()
+    out = {}
+    for r in rows:
+        for s in scopes:
+            vals = r[f"s{s + 1}"]
+            for i, q in enumerate(probs):
+                out[(r.feature, s, q)] = None if vals is None else float(vals[i])
+    return {(c, s, q): out.get((c, s, q)) for c in cols for s in scopes for q in probs}
+
+
+def _quantiles(long_df, cols, probs, fold_col, folds, include_all, method: str = "auto"):
     counts = _scope_counts(long_df, folds if fold_col else None)
     scopes = ([ALL] if include_all else []) + list(folds or [])
+    limit = int(long_df.sparkSession.conf.get(IN_MEMORY_LIMIT_CONF, str(DEFAULT_IN_MEMORY_LIMIT)))
+    largest = max(counts.values(), default=0)
+    if method == "in_memory" or (method == "auto" and largest <= limit):
+        return _in_memory(long_df, cols, probs, scopes)
     targets: dict[tuple[str, int, int], None] = {}
     plan: dict[tuple[str, int, float], tuple[int, int, float] | None] = {}
     for c in cols:

@@ -39,7 +39,7 @@ def _gram_sql() -> str:
     cols += [f"CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END AS a{p + i}" for i, c in enumerate(GRAM_FEATURES)]
     cols += [f"1.0 AS a{2 * p}", f"t1 AS a{2 * p + 1}"]
     m = 2 * p + 2
-    parts = [f"SELECT cell, {i} AS i, {j} AS j, {sql_sig(f'sum(a{i} * a{j})', 8)} AS v FROM av GROUP BY cell"
+    parts = [f"SELECT cell, {i} AS i, {j} AS j, {sql_sig(f'sum(a{i} * a{j})', 6)} AS v FROM av GROUP BY cell"
              for i in range(m) for j in range(i, m)]
     return f"""WITH {_cte()}, tr AS (SELECT *, CAST({_H} % {K} AS INTEGER) AS cell FROM af WHERE NOT is_test),
 md AS (SELECT {', '.join(f'median({c}) AS c{i}' for i, c in enumerate(GRAM_FEATURES))} FROM tr),
@@ -56,7 +56,7 @@ def gram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     mom = gram.moments(tr, GRAM_FEATURES, ["t1"], "fold", centre)
     rows = [(int(c), i, j, float(mat[i, j])) for c, mat in mom.cells.items() for i in range(mom.m) for j in range(i, mom.m)]
     df = spark.createDataFrame(rows, "cell int, i int, j int, v double")
-    return df.select("cell", "i", "j", sig(F.col("v"), 8).alias("v"))
+    return df.select("cell", "i", "j", sig(F.col("v"), 6).alias("v"))
 
 
 # ---------------------------------------------------------------- M8 PCA
