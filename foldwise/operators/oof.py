@@ -354,3 +354,18 @@ def collect_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out, fits, centre
+
+
+def evaluate_cv(build_estimator, df: DataFrame, features: Sequence[str], target: str, per_fold: dict[int, PrepModel],
+                k: int) -> tuple[float, list[float]]:
+    """A fresh estimator per fold (``build_estimator()`` returns a pyspark.ml
+    regressor reading ``__v`` / ``__y``), RMSE per fold and their plain mean."""
+    scores = []
+    for f in range(k):
+        vec = _to_vector(_imputed_vector(features, per_fold[f]))
+        framed = df.select(F.col("fold").cast("int").alias("fold"), F.col(target).cast("double").alias("__y"), vec.alias("__v"))
+        model = build_estimator().fit(framed.filter(F.col("fold") != f))
+        r = model.transform(framed.filter(F.col("fold") == f)).agg(
+            F.sqrt(F.avg((F.col("__y") - F.col("prediction")) ** 2)).alias("r")).first().r
+        scores.append(float(r))
+    return float(np.mean(scores)), scores

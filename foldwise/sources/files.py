@@ -85,3 +85,14 @@ def load_train(spark: SparkSession, path: str, targets: Sequence[str]) -> DataFr
 def load_test(spark: SparkSession, path: str) -> DataFrame:
     """S3: test table, no target check."""
     return read_csv(spark, path) if path.endswith(".csv") else normalize_missing(read_parquet(spark, path))
+
+
+def with_row_index(df: DataFrame, id_col: str = "index") -> DataFrame:
+    """P20: keep ``id_col`` when present, else number the rows 0..n-1 in scan
+    order with partition offsets (dense, unlike monotonically_increasing_id)."""
+    if id_col in df.columns:
+        return df
+    from foldwise.operators.numbering import rank_within
+
+    tagged = df.withColumn("__mono", F.monotonically_increasing_id())
+    return rank_within(tagged, ["__mono"], (), out=id_col).drop("__mono")
