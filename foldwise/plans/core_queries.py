@@ -11,6 +11,7 @@ from foldwise.operators import metrics, prep
 from foldwise.operators.fixtures import linear_oof
 from foldwise.plans.registry import register
 from foldwise.plans.rounding import sig, sql_sig
+from foldwise.session import cut_lineage
 from foldwise.sources import views
 from foldwise.sources.views import ASSAY_ROLES, ASSAY_SQL, ID, TARGETS
 
@@ -160,7 +161,10 @@ oof AS (SELECT lt."index", lt.target, 'm_mean' AS model, lt.fold, lt.y, par.mean
 
 
 def assay_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linear_oof(views.train_part(views.assay(spark, sf_dir)))
+    """The OOF table is the materialisation point of every second-level query:
+    cut the lineage (checkpoint into the shared folder) so weights, blends and
+    scores read it once instead of re-deriving the joins."""
+    return cut_lineage(linear_oof(views.train_part(views.assay(spark, sf_dir))))
 
 
 @register("oof_fixture", f"""WITH {_oof_sql()}
@@ -286,8 +290,9 @@ def score_by_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         d = F.col(f"y{i}") - F.col(f"p{i}")
         aggs.append(F.sqrt(F.avg(d * d)).alias(t))
     one = fin.agg(F.count(F.lit(1)).alias("n"), *aggs)
-    per = one.select("n", F.explode(F.array(*[
-        F.struct(F.lit(t).alias("target"), F.col(t).alias("rmse")) for t in TARGETS
-    ])).alias("r")).select(F.col("r.target").alias("target"), "n", F.col("r.rmse").alias("rmse"))
-    score = per.agg(F.lit("score").alias("target"), F.min("n").alias("n"), F.avg("rmse").alias("rmse"))
-    return per.unionByName(score).select("target", F.col("n").cast("bigint").alias("n"), sig(F.col("rmse"), 9).alias("rmse"))
+    # one aggregate, four output rows (per target and their mean): no second branch
+    rows = [F.struct(F.lit(t).alias("target"), F.col(t).alias("rmse")) for t in TARGETS]
+    rows.append(F.struct(F.lit("score").alias("target"), (sum(F.col(t) for t in TARGETS) / len(TARGETS)).alias("rmse")))
+    per = one.select("n", F.explode(F.array(*rows)).alias("r")).select(
+        F.col("r.target").alias("target"), "n", F.col("r.rmse").alias("rmse"))
+    return per.select("target", F.col("n").cast("bigint").alias("n"), sig(F.col("rmse"), 9).alias("rmse"))
