@@ -11,9 +11,11 @@ folds through a small broadcast range table.
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ log = logging.getLogger(__name__)
 DEFAULT_FOLDS = 5
 DEFAULT_SEED = 42
 SAMPLE_BUCKETS = 10000
+KMEANS_TOL = 1e-4
 
 
 def hash_kfold(df: DataFrame, k: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED, id_col: str = "index") -> DataFrame:
@@ -155,7 +158,12 @@ def cluster_kfold(df: DataFrame, features: Sequence[str], k: int = DEFAULT_FOLDS
     filled = df.withColumns({f"__c_{c}": F.coalesce(F.col(c).cast("double"), F.lit(meds.get((c, ALL)) or 0.0)) for c in feats})
     vec = VectorAssembler(inputCols=[f"__c_{c}" for c in feats], outputCol="__cvec").transform(filled)
     sample = vec.filter(stable_hash(id_col, seed) % SAMPLE_BUCKETS < int(fit_fraction * SAMPLE_BUCKETS))
-    km = KMeans(k=n_clusters, seed=seed, maxIter=300, tol=1e-4, featuresCol="__cvec", predictionCol="__cluster")
+    # the reference's tolerance (1e-4) is relative to the mean feature variance of
+    # the fitted rows; MLlib's is an absolute centre shift: translate it
+    var = sample.agg(*[F.var_pop(f"__c_{c}").alias(c) for c in feats]).first()
+    mean_var = float(np.mean([var[c] or 0.0 for c in feats])) if feats else 0.0
+    eps = math.sqrt(KMEANS_TOL * mean_var) if mean_var > 0 else KMEANS_TOL
+    km = KMeans(k=n_clusters, seed=seed, maxIter=300, tol=eps, featuresCol="__cvec", predictionCol="__cluster")
     model = km.fit(sample)
     clustered = model.transform(vec).drop("__cvec", *[f"__c_{c}" for c in feats])
     out = group_kfold(clustered, "__cluster", k)
