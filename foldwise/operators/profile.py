@@ -122,3 +122,52 @@ def ratio_identity(df: DataFrame, ratio: str, num: str, den: str, eps: float = 1
     d = F.abs(F.col(ratio) - F.col(num) / F.greatest(F.col(den), F.lit(eps)))
     return df.agg(F.max(d).alias("max_abs_diff"), F.count(F.lit(1)).alias("n"))
 
+
+
+CORR_GRAM_MIN_COLUMNS = 24   # above this many columns, correlations come from one Gram pass
+
+
+def correlation_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A14 for wide tables: pairwise-complete Pearson correlations of every pair
+    from ONE scan.  The moment matrix of [x0 | x0^2 | NULL flags | 1] (x0 = x - c,
+    0 where NULL) contains, for each pair, the count, sums, sums of squares and
+    cross products over the rows where both are present."""
+    import numpy as np
+
+    from foldwise.operators import gram
+    from foldwise.operators.quantiles import medians
+
+    p = len(cols)
+    meds = medians(df, list(cols))
+    centre = [meds.get((c, -1)) or 0.0 for c in cols]
+    sq = [F.pow(F.col(c).cast("double") - F.lit(centre[i]), 2).alias(f"__sq{i}") for i, c in enumerate(cols)]
+    # x0^2 enters as extra "features" centred at 0, so the pass yields their cross moments too
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols], *sq)
+    mom = gram.moments(wide, [*cols, *[f"__sq{i}" for i in range(p)]], [], None, [*centre, *([0.0] * p)]).total()
+    q = 2 * p                     # layout: x0 (p) | x0^2 (p) | flags (2p) | 1
+    one = 2 * q
+    x0 = lambda i: i              # noqa: E731
+    x2 = lambda i: p + i          # noqa: E731
+    z = lambda i: q + i           # noqa: E731  NULL flag of column i
+    rows = []
+    for i in range(p):
+        for j in range(i + 1, p):
+            n = mom[one, one] - mom[one, z(i)] - mom[one, z(j)] + mom[z(i), z(j)]
+            si = mom[one, x0(i)] - mom[z(j), x0(i)]
+            sj = mom[one, x0(j)] - mom[z(i), x0(j)]
+            sii = mom[one, x2(i)] - mom[z(j), x2(i)]
+            sjj = mom[one, x2(j)] - mom[z(i), x2(j)]
+            sij = mom[x0(i), x0(j)]
+            cov = sij - si * sj / n if n > 0 else np.nan
+            vi, vj = sii - si * si / n if n > 0 else np.nan, sjj - sj * sj / n if n > 0 else np.nan
+            r = cov / np.sqrt(vi * vj) if n > 1 and vi > 0 and vj > 0 else None
+            rows.append((cols[i], cols[j], None if r is None else float(r)))
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
+
+
+def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A14 dispatcher: one aggregate of F.corr pairs for narrow tables, the Gram
+    pass for wide ones (the number of pair expressions grows with p^2)."""
+    if len(cols) > CORR_GRAM_MIN_COLUMNS:
+        return correlation_gram(df, cols)
+    return correlation_pairs(df, cols)

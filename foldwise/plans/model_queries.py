@@ -240,3 +240,23 @@ def blend_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = spark.createDataFrame(rows, "target string, model string, weight double, rmse double, score double")
     return df.select("target", "model", sig(F.col("weight"), 8).alias("weight"), sig(F.col("rmse"), 8).alias("rmse"),
                      sig(F.col("score"), 8).alias("score"))
+
+
+@register("pca_scores")
+def pca_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PC1 / PC2 scores of every embedding row (standardised, 0-filled,
+    centred; sign fixed by the largest loading): one projection with literal loadings."""
+    wide = views.wide(spark, sf_dir)
+    cols = [c for c in wide.columns if c.startswith("e")]
+    filled = wide.select(ID, "label", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
+    mom = gram.moments(filled, cols, [], None, [0.0] * len(cols)).total()
+    p = len(cols)
+    n = mom[2 * p, 2 * p]
+    mean = mom[:p, 2 * p] / n
+    cov = mom[:p, :p] / n - np.outer(mean, mean)
+    scale = np.sqrt(np.clip(np.diag(cov), 0, None))
+    scale = np.where(scale > 0, scale, 1.0)
+    _, vec = gram.pca_from_gram(cov / np.outer(scale, scale))
+    pcs = [sum(F.lit(float(vec[j, k] / scale[j])) * (F.col(c) - F.lit(float(mean[j]))) for j, c in enumerate(cols)).alias(f"pc{k + 1}")
+           for k in range(2)]
+    return filled.select(ID, "label", *pcs)

@@ -70,7 +70,7 @@ def _pairs(cols):
 {chr(10).join(('UNION ALL ' if i else '') + f"SELECT '{a}' AS a, '{b}' AS b, {sql_sig(f'corr({a}, {b})', 7)} AS corr FROM tr" for i, (a, b) in enumerate(_pairs(VARYING)))}""")
 def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairwise-complete Pearson correlation of every pair of columns."""
-    c = profile.correlation_pairs(_train(spark, sf_dir), list(VARYING))
+    c = profile.correlations(_train(spark, sf_dir), list(VARYING))
     return c.select("a", "b", sig(F.col("corr"), 7).alias("corr"))
 
 
@@ -154,3 +154,21 @@ def ratio_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ = ALL
+
+
+_EMB_DIMS = 64
+
+
+def _corr_wide_sql() -> str:
+    cols = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(_EMB_DIMS))
+    parts = [f"SELECT 'e{i}' AS a, 'e{j}' AS b, {sql_sig(f'corr(e{i}, e{j})', 7)} AS corr FROM w"
+             for i in range(_EMB_DIMS) for j in range(i + 1, _EMB_DIMS)]
+    return f"WITH w AS (SELECT {cols} FROM embeddings)\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("corr_wide", _corr_wide_sql())
+def corr_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 on a wide table (64 embedding dimensions, 2,016 pairs) from one Gram pass."""
+    w = views.wide(spark, sf_dir, _EMB_DIMS)
+    cols = [f"e{i}" for i in range(_EMB_DIMS)]
+    return profile.correlations(w, cols).select("a", "b", sig(F.col("corr"), 7).alias("corr"))

@@ -34,3 +34,21 @@ def test_csv_edge_cells(spark, tmp_path):
 def test_csv_missing_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.read_csv(spark, str(tmp_path / "nope.csv"))
+
+
+def test_gram_correlation_equals_pairwise(spark):
+    from foldwise.operators import profile
+
+    rng = np.random.default_rng(4)
+    n, p = 400, 5
+    x = rng.normal(size=(n, p)) * [1, 10, 100, 0.1, 3] + [0, 5, -50, 1, 2]
+    x[:, 1] += x[:, 0] * 3
+    x[rng.random((n, p)) < 0.1] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x],
+                               ", ".join(f"c{j} double" for j in range(p)))
+    cols = [f"c{j}" for j in range(p)]
+    a = {(r.a, r.b): r.corr for r in profile.correlation_pairs(df, cols).collect()}
+    b = {(r.a, r.b): r.corr for r in profile.correlation_gram(df, cols).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert b[k] == pytest.approx(a[k], abs=1e-10)
