@@ -29,7 +29,11 @@ log = logging.getLogger(__name__)
 DEFAULT_FOLDS = 5
 DEFAULT_SEED = 42
 SAMPLE_BUCKETS = 10000
-KMEANS_TOL = 1e-4
+# ---- fixed values: K-Means settings of the cluster splitter ----
+KMEANS_TOL = 1e-4           # relative to the mean feature variance
+KMEANS_MAX_ITER = 300
+FIT_FRACTION = 0.75
+# ----------------------------------------------------------------
 
 
 def hash_kfold(df: DataFrame, k: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED, id_col: str = "index") -> DataFrame:
@@ -146,7 +150,7 @@ def cluster_features(df: DataFrame, preferred: Sequence[str], numeric: Sequence[
 
 
 def cluster_kfold(df: DataFrame, features: Sequence[str], k: int = DEFAULT_FOLDS, n_clusters: int = 5,
-                  seed: int = DEFAULT_SEED, fit_fraction: float = 0.75, id_col: str = "index") -> ClusterFoldResult:
+                  seed: int = DEFAULT_SEED, fit_fraction: float = FIT_FRACTION, id_col: str = "index") -> ClusterFoldResult:
     """K-Means (unscaled, NULL -> median) fitted on a deterministic
     hash sample of the rows, clusters predicted for every row, then group
     k-fold over cluster ids."""
@@ -163,7 +167,7 @@ def cluster_kfold(df: DataFrame, features: Sequence[str], k: int = DEFAULT_FOLDS
     var = sample.agg(*[F.var_pop(f"__c_{c}").alias(c) for c in feats]).first()
     mean_var = float(np.mean([var[c] or 0.0 for c in feats])) if feats else 0.0
     eps = math.sqrt(KMEANS_TOL * mean_var) if mean_var > 0 else KMEANS_TOL
-    km = KMeans(k=n_clusters, seed=seed, maxIter=300, tol=eps, featuresCol="__cvec", predictionCol="__cluster")
+    km = KMeans(k=n_clusters, seed=seed, maxIter=KMEANS_MAX_ITER, tol=eps, featuresCol="__cvec", predictionCol="__cluster")
     model = km.fit(sample)
     clustered = model.transform(vec).drop("__cvec", *[f"__c_{c}" for c in feats])
     out = group_kfold(clustered, "__cluster", k)

@@ -30,6 +30,10 @@ class TreeSpec:
 
 
 def _presets(scale: str) -> dict[str, TreeSpec]:
+    """Tree presets.  Fixed values: with scale="reference" the round counts,
+    learning rates, depths / leaf sizes, sampling fractions and patience are
+    the reference's hyper-parameters; scale="small" only lowers round / tree
+    counts for tests and benchmarks."""
     big = scale == "reference"
     r = (lambda a, b: a if big else b)
     return {

@@ -21,7 +21,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -286,8 +285,8 @@ def tree_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str
     """OOF predictions of the tree candidates; one MLlib fit per (target, fold, model)."""
     if not names:
         return None
+    # ``df`` is the checkpointed fold-tagged table; MLlib caches its own binned input per fit
     base = df.select(ID, F.col("fold").cast("int").alias("fold"), *features, *[n for n, _ in targets])
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
     jobs = []
     for f in range(cfg.k):
         m = per_fold[f]
@@ -303,7 +302,12 @@ def tree_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str
     def run(job):
         f, name, use_log, mname, tr, va, seed = job
         spec = models.tree_spec(mname, cfg.scale)
-        model = fit_tree_fold(tr, va, spec, seed)
+        if spec.early_stop and cfg.early_stop == "inner":
+            # stop on a hash hold-out of the training rows, never on the scored fold
+            inner = stable_hash(ID, cfg.seed + 11) % 10 == 0
+            model = fit_tree_fold(tr.filter(~inner), tr.filter(inner), spec, seed)
+        else:
+            model = fit_tree_fold(tr, va, spec, seed)
         pred = model.transform(va).select(
             ID, F.lit(name).alias("target"), F.lit(mname).alias("model"), F.lit(f).alias("fold"), "y",
             _inverse(F.col("prediction"), use_log, cfg.inverse).alias("pred"))

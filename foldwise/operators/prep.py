@@ -113,11 +113,14 @@ class PrepModel:
         )
 
     def save(self, spark: SparkSession, path: str) -> None:
-        spark.createDataFrame([(self.to_json(),)], "model string").coalesce(1).write.mode("overwrite").text(path)
+        spark.createDataFrame([(self.to_json(),)], "model string").write.mode("overwrite").text(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> PrepModel:
-        return cls.from_json(spark.read.text(path).first()[0])
+        rows = [r[0] for r in spark.read.text(path).collect() if r[0]]
+        if not rows:
+            raise FileNotFoundError(path)
+        return cls.from_json(rows[0])
 
 
 def _scope_stats(df: DataFrame, cols: Sequence[str], fold_col: str | None, folds: Sequence[int]) -> dict[tuple[int, str], FeatureStats]:

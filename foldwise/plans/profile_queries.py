@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.operators import prep, profile
-from foldwise.operators.quantiles import ALL
 from foldwise.plans.core_queries import FEATURES, _cte, assay_features
 from foldwise.plans.registry import register
 from foldwise.plans.rounding import sig, sql_sig
@@ -153,8 +152,6 @@ def ratio_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("max_abs_diff", F.col("n").cast("bigint").alias("n"))
 
 
-_ = ALL
-
 
 _EMB_DIMS = 64
 

@@ -96,3 +96,10 @@ def with_row_index(df: DataFrame, id_col: str = "index") -> DataFrame:
 
     tagged = df.withColumn("__mono", F.monotonically_increasing_id())
     return rank_within(tagged, ["__mono"], (), out=id_col).drop("__mono")
+
+
+def feature_set_diff(a: DataFrame, b: DataFrame, exclude: Iterable[str] = ()) -> tuple[list[str], list[str]]:
+    """Numeric columns only in ``a`` and only in ``b`` (both must be empty
+    for a train / test pair)."""
+    ca, cb = set(numeric_columns(a, exclude)), set(numeric_columns(b, exclude))
+    return sorted(ca - cb), sorted(cb - ca)
