@@ -23,6 +23,7 @@ from foldwise.functions.exprs import stable_hash
 from foldwise.operators.groups import with_group_key
 from foldwise.operators.numbering import rank_within
 from foldwise.operators.quantiles import ALL, medians
+from foldwise.operators.skew import join_with_hot_split
 
 log = logging.getLogger(__name__)
 
@@ -129,7 +130,8 @@ def group_kfold(df: DataFrame, group_col: str, k: int = DEFAULT_FOLDS) -> DataFr
         .filter((F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__end")))
         .select(group_col, "fold")
     )
-    return df.join(gfold, group_col)
+    # a group may hold a third of all rows: hot groups are matched map-side
+    return join_with_hot_split(df, gfold, group_col, sizes, "__size")
 
 
 def duplicate_group_kfold(df: DataFrame, feature_cols: Sequence[str], k: int = DEFAULT_FOLDS) -> DataFrame:

@@ -75,3 +75,15 @@ def test_fewer_groups_than_folds(spark):
     df = spark.createDataFrame([(i, i % 2) for i in range(10)], "index long, g long")
     out = folds.group_kfold(df, "g", 5)
     assert out.select("fold").distinct().count() == 2 and out.count() == 10
+
+
+def test_hot_group_split_keeps_every_row(spark):
+    # one vector holds 40 % of the rows
+    rows = [(1.0, 1.0)] * 400 + [(float(i % 50), float(i % 7)) for i in range(600)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    f = folds.duplicate_group_kfold(df, ["a", "b"], 5)
+    assert f.count() == 1000
+    per_group = groups.with_group_key(f, ["a", "b"]).groupBy("gkey").agg(F.countDistinct("fold").alias("n"))
+    assert per_group.filter("n > 1").count() == 0
+    ids = groups.dense_group_ids(df, ["a", "b"])
+    assert ids.count() == 1000 and ids.filter((F.col("a") == 1.0) & (F.col("b") == 1.0)).select("group_id").distinct().count() == 1
