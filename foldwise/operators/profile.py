@@ -124,7 +124,7 @@ def ratio_identity(df: DataFrame, ratio: str, num: str, den: str, eps: float = 1
 
 
 
-CORR_GRAM_MIN_COLUMNS = 24   # above this many columns, correlations come from one Gram pass
+CORR_GRAM_MIN_COLUMNS = 8    # above this many columns, correlations come from one Gram pass
 
 
 def correlation_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -135,11 +135,11 @@ def correlation_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     import numpy as np
 
     from foldwise.operators import gram
-    from foldwise.operators.quantiles import medians
 
     p = len(cols)
-    meds = medians(df, list(cols))
-    centre = [meds.get((c, -1)) or 0.0 for c in cols]
+    # any constant centre works; the column means keep the sums well conditioned
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    centre = [float(means[f"m{i}"] or 0.0) for i in range(p)]
     sq = [F.pow(F.col(c).cast("double") - F.lit(centre[i]), 2).alias(f"__sq{i}") for i, c in enumerate(cols)]
     # x0^2 enters as extra "features" centred at 0, so the pass yields their cross moments too
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols], *sq)
