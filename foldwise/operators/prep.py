@@ -20,6 +20,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,7 +125,16 @@ class PrepModel:
 
 
 def _scope_stats(df: DataFrame, cols: Sequence[str], fold_col: str | None, folds: Sequence[int]) -> dict[tuple[int, str], FeatureStats]:
-    """FeatureStats for every (scope, feature) in three passes."""
+    """FeatureStats for every (scope, feature) in three passes over one
+    persisted copy of the input (the upstream plan runs once)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _scope_stats_on(df, cols, fold_col, folds)
+    finally:
+        df.unpersist()
+
+
+def _scope_stats_on(df: DataFrame, cols: Sequence[str], fold_col: str | None, folds: Sequence[int]) -> dict[tuple[int, str], FeatureStats]:
     fold = F.col(fold_col).cast("int") if fold_col else F.lit(0)
     # pass 1 + 3 share the grouping; pass 2 (medians) needs pass-1-free radix passes
     meds = medians(df, cols, fold_col=fold_col, folds=list(folds) if fold_col else None)

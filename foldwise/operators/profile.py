@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.operators.quantiles import ALL, long_form, quantiles
+from foldwise.session import cut_lineage
 
 
 def missing_top(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:
@@ -25,6 +27,14 @@ def missing_top(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, std (ddof 1), min, exact quartiles (linear), max per column."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)   # moments, counts and quantiles read it
+    try:
+        return cut_lineage(_describe(df, cols))       # materialised before the input is released
+    finally:
+        df.unpersist()
+
+
+def _describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     long = long_form(df, cols)
     moments = long.groupBy("feature").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),

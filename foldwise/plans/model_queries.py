@@ -25,7 +25,8 @@ _H = "('0x' || substr(md5(CAST(\"index\" AS VARCHAR) || ':42'), 1, 8))::BIGINT"
 
 
 def fold_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folds.hash_kfold(views.train_part(assay_features(spark, sf_dir)), K, SEED)
+    """Fold-tagged training table, checkpointed: every later pass reads it."""
+    return cut_lineage(folds.hash_kfold(views.train_part(assay_features(spark, sf_dir)), K, SEED))
 
 
 def fitted_prep(tr: DataFrame):
