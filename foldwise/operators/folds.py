@@ -24,6 +24,7 @@ from foldwise.operators.groups import with_group_key
 from foldwise.operators.numbering import rank_within
 from foldwise.operators.quantiles import ALL, medians
 from foldwise.operators.skew import join_with_hot_split
+from foldwise.session import cut_lineage
 
 log = logging.getLogger(__name__)
 
@@ -117,7 +118,8 @@ def effective_folds(n_groups: int, k: int) -> int:
 def group_kfold(df: DataFrame, group_col: str, k: int = DEFAULT_FOLDS) -> DataFrame:
     """Whole groups per fold, fold loads equal to the greedy assignment."""
     spark = df.sparkSession
-    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__size"))
+    # one pass over the rows; histogram, numbering and the hot-key check read the checkpoint
+    sizes = cut_lineage(df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__size")))
     hist = [(r["__size"], r["n"]) for r in sizes.groupBy("__size").agg(F.count(F.lit(1)).alias("n")).collect()]
     k_eff = effective_folds(sum(n for _, n in hist), k)
     table = plan_group_folds(hist, k_eff)
@@ -134,9 +136,12 @@ def group_kfold(df: DataFrame, group_col: str, k: int = DEFAULT_FOLDS) -> DataFr
     return join_with_hot_split(df, gfold, group_col, sizes, "__size")
 
 
-def duplicate_group_kfold(df: DataFrame, feature_cols: Sequence[str], k: int = DEFAULT_FOLDS) -> DataFrame:
-    """Groups are equal rounded feature vectors."""
-    return group_kfold(with_group_key(df, feature_cols, "__gkey"), "__gkey", k).drop("__gkey")
+def duplicate_group_kfold(df: DataFrame, feature_cols: Sequence[str], k: int = DEFAULT_FOLDS,
+                          key_col: str | None = None) -> DataFrame:
+    """Groups are equal rounded feature vectors (``key_col`` keeps the key)."""
+    name = key_col or "__gkey"
+    out = group_kfold(with_group_key(df, feature_cols, name), name, k)
+    return out if key_col else out.drop(name)
 
 
 @dataclass

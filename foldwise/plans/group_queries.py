@@ -119,8 +119,7 @@ fin AS (SELECT * FROM walk WHERE i = (SELECT max(i) FROM o))
 @register("group_kfold_loads", _greedy_sql())
 def group_kfold_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 + C3: duplicate-group k-fold; rows and groups per fold equal the greedy's."""
-    f = folds.duplicate_group_kfold(views.dupes(spark, sf_dir), DUPES_FEATURES, K)
-    keyed = groups.with_group_key(f, DUPES_FEATURES)
+    keyed = folds.duplicate_group_kfold(views.dupes(spark, sf_dir), DUPES_FEATURES, K, key_col="gkey")
     return keyed.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("gkey").alias("n_groups")).select(
         F.col("fold").cast("int").alias("fold"), F.col("n_rows").cast("bigint").alias("n_rows"),
         F.col("n_groups").cast("bigint").alias("n_groups"))
@@ -131,8 +130,7 @@ SELECT CAST(sum(size) AS BIGINT) AS n_rows, CAST(sum(size) AS BIGINT) AS n_assig
        CAST(0 AS BIGINT) AS groups_split, CAST({K} AS BIGINT) AS n_folds FROM g""")
 def fold_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invariants: every row validated exactly once, no group on both sides of a split."""
-    f = folds.duplicate_group_kfold(views.dupes(spark, sf_dir), DUPES_FEATURES, K)
-    keyed = groups.with_group_key(f, DUPES_FEATURES)
+    keyed = folds.duplicate_group_kfold(views.dupes(spark, sf_dir), DUPES_FEATURES, K, key_col="gkey")
     per_group = keyed.groupBy("gkey").agg(F.countDistinct("fold").alias("nf"), F.count(F.lit(1)).alias("n"))
     return per_group.agg(
         F.sum("n").cast("bigint").alias("n_rows"), F.sum("n").cast("bigint").alias("n_assigned"),
