@@ -96,12 +96,24 @@ def select_ranks(long_df: DataFrame, targets: dict[tuple[str, int, int], None] |
 
     ``long_df`` has columns (feature, fold, value) with no NULL values.  Scope
     ALL counts every row, scope f counts rows with fold <> f."""
-    spark = long_df.sparkSession
-    keyed = long_df.select("feature", "fold", sortable_key(F.col("value") + F.lit(0.0)).alias("key"))
     # state per target: (feature, scope, rank) -> [prefix, remaining rank]
     state = {t: [0, t[2]] for t in targets}
     if not state:
         return {}
+    # the key is computed once and kept for the four passes: recomputed per
+    # pass, the float arithmetic also lands in the join key and the digit and
+    # costs several times the histogram itself
+    keyed = long_df.select("feature", "fold", sortable_key(F.col("value") + F.lit(0.0)).alias("key"))
+    keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _radix_passes(keyed, state)
+    finally:
+        keyed.unpersist()
+    return {t: key_to_double(st[0]) for t, st in state.items()}
+
+
+def _radix_passes(keyed: DataFrame, state: dict[tuple[str, int, int], list[int]]) -> None:
+    spark = keyed.sparkSession
     for p in range(1, _PASSES + 1):
         shift = 64 - _DIGIT_BITS * p
         if p == 1:
@@ -140,7 +152,6 @@ def select_ranks(long_df: DataFrame, targets: dict[tuple[str, int, int], None] |
             st = state[(r.feature, r.scope, r.rank)]
             st[0] = r.digit if p == 1 else (st[0] << _DIGIT_BITS) | r.digit
             st[1] = r.rem2
-    return {t: key_to_double(st[0]) for t, st in state.items()}
 
 
 def quantiles(

@@ -44,7 +44,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+MIN_ROWS_PER_PARTITION = 10_000
+
+
+def cut_lineage(df: DataFrame, spread: bool = True) -> DataFrame:
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    Every later pass reads the checkpoint with its partitioning.  A table from
+    a scan of one parquet row group, or one coalesced by AQE, can land in a
+    single partition, and then every pass runs as one task.  With ``spread``
+    such a table, when it has fewer partitions than the cluster has cores and
+    enough rows to fill more, is redistributed round-robin and checkpointed
+    again.  A large table always has more partitions than that, so at scale
+    the second write never happens; on small inputs it is cheap."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    ck = df.checkpoint(eager=True)
+    if not spread:
+        return ck
+    cores = spark.sparkContext.defaultParallelism
+    have = ck.rdd.getNumPartitions()
+    if have >= cores:
+        return ck
+    want = min(cores, ck.count() // MIN_ROWS_PER_PARTITION)
+    if want <= have:
+        return ck
+    return ck.repartition(want).checkpoint(eager=True)
