@@ -164,7 +164,7 @@ def assay_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The OOF table is the materialisation point of every second-level query:
     cut the lineage (checkpoint into the shared folder) so weights, blends and
     scores read it once instead of re-deriving the joins."""
-    return cut_lineage(linear_oof(views.train_part(views.assay(spark, sf_dir))))
+    return cut_lineage(linear_oof(views.train_part(views.assay(spark, sf_dir))), spread=True)
 
 
 @register("oof_fixture", f"""WITH {_oof_sql()}

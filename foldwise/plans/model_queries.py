@@ -26,7 +26,7 @@ _H = "('0x' || substr(md5(CAST(\"index\" AS VARCHAR) || ':42'), 1, 8))::BIGINT"
 
 def fold_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fold-tagged training table, checkpointed: every later pass reads it."""
-    return cut_lineage(folds.hash_kfold(views.train_part(assay_features(spark, sf_dir)), K, SEED))
+    return cut_lineage(folds.hash_kfold(views.train_part(assay_features(spark, sf_dir)), K, SEED), spread=True)
 
 
 def fitted_prep(tr: DataFrame):
@@ -131,7 +131,7 @@ def _linear_oof(sf_dir: str, spark_id: int):
     fits, centre = _linear(sf_dir, spark_id)
     lin = oof.apply_linear(tr, [f for f in fits if f.scope != ALL], FEATURES, centre, TARGET_SPECS, "floored", "fold")
     # the OOF table is the materialisation point: cut the lineage into the shared checkpoint folder
-    return cut_lineage(lin)
+    return cut_lineage(lin, spread=True)
 
 
 def _rmse_table(o: DataFrame) -> DataFrame:

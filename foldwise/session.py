@@ -47,16 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 MIN_ROWS_PER_PARTITION = 10_000
 
 
-def cut_lineage(df: DataFrame, spread: bool = True) -> DataFrame:
+def cut_lineage(df: DataFrame, spread: bool = False) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss).
 
     Every later pass reads the checkpoint with its partitioning.  A table from
     a scan of one parquet row group, or one coalesced by AQE, can land in a
-    single partition, and then every pass runs as one task.  With ``spread``
-    such a table, when it has fewer partitions than the cluster has cores and
-    enough rows to fill more, is redistributed round-robin and checkpointed
-    again.  A large table always has more partitions than that, so at scale
-    the second write never happens; on small inputs it is cheap."""
+    single partition, and then every pass runs as one task.  ``spread`` is for
+    the tables many passes re-scan (fold-tagged frames, OOF tables): when such
+    a table has fewer partitions than the cluster has cores and enough rows to
+    fill more, it is redistributed round-robin and checkpointed again.  A large
+    table always has more partitions than that, so at scale the second write
+    never happens; on small inputs it is cheap."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     ck = df.checkpoint(eager=True)

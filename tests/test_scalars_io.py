@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from foldwise.functions import exprs
 from foldwise.sources import files, sinks
@@ -39,3 +40,16 @@ def test_feature_set_diff(spark):
     a = spark.createDataFrame([(1, 1.0, 2.0, "x")], "index long, f1 double, f2 double, s string")
     b = spark.createDataFrame([(1, 1.0, 3)], "index long, f1 double, f3 int")
     assert files.feature_set_diff(a, b, ["index"]) == (["f2"], ["f3"])
+
+
+def test_cut_lineage_spread_only_when_rows_fill_more_partitions(spark):
+    from foldwise.session import MIN_ROWS_PER_PARTITION, cut_lineage
+
+    cores = spark.sparkContext.defaultParallelism
+    big = spark.range(0, MIN_ROWS_PER_PARTITION * 4, numPartitions=1).withColumn("v", F.col("id") * 2)
+    spread = cut_lineage(big, spread=True)
+    assert spread.rdd.getNumPartitions() == min(cores, 4) or cores < 2
+    assert spread.agg(F.count(F.lit(1)), F.sum("v")).first() == (MIN_ROWS_PER_PARTITION * 4, sum(range(0, MIN_ROWS_PER_PARTITION * 4)) * 2)
+    small = spark.range(0, 100, numPartitions=1)
+    assert cut_lineage(small, spread=True).rdd.getNumPartitions() == 1
+    assert cut_lineage(big).rdd.getNumPartitions() == 1
