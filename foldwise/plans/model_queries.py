@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import concurrent.futures as cf
 from functools import lru_cache
 
 import numpy as np
@@ -170,14 +171,19 @@ def oof_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rmse_table(t)
 
 
+def _metas(lin: DataFrame, names: list[str]) -> list:
+    """Per-target nested meta ridge, the independent fits submitted together."""
+    with cf.ThreadPoolExecutor(max_workers=len(TARGETS)) as pool:
+        return list(pool.map(lambda t: blend.meta_oof_ridge(lin, t, names, K, SEED), TARGETS))
+
+
 @register("meta_oof")
 def meta_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C13 + M20: nested meta-ridge OOF per target next to the in-sample meta score."""
     lin = _linear_oof(sf_dir, id(spark))
     names = list(models.LINEAR)
     out = []
-    for t in TARGETS:
-        m = blend.meta_oof_ridge(lin, t, names, K, SEED)
+    for t, m in zip(TARGETS, _metas(lin, names)):
         nested = metrics.rmse_by(m.oof_meta, ["target", "model"])
         insample = metrics.rmse_by(blend.meta_in_sample(lin, m, names), ["target", "model"])
         out.append(nested.unionByName(insample))
@@ -195,7 +201,7 @@ def stacked_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     fits, centre = _linear(sf_dir, id(spark))
     lin = _linear_oof(sf_dir, id(spark))
     names = list(models.LINEAR)
-    metas = {t: blend.meta_oof_ridge(lin, t, names, K, SEED) for t in TARGETS}
+    metas = dict(zip(TARGETS, _metas(lin, names)))
     test = views.test_part(af)
     base = oof.apply_linear(test, [f for f in fits if f.scope == ALL], FEATURES, centre, TARGET_SPECS, "plain", None)
     pred = blend.stacked_predict(base, metas, names)
