@@ -42,9 +42,9 @@ def prep_stats_by_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 + M6: medians / scaler per fold from the other folds' rows; the frozen
     schema copies the full fit's columns, the free one screens per fold."""
     tr = folds.hash_kfold(views.train_part(assay_features(spark, sf_dir)), K, SEED)
-    full = prep.fit(tr, features=FEATURES)
+    # the full fit is the ALL scope of the same passes that fit every fold
+    full, free = prep.fit_with_folds(tr, "fold", list(range(K)), features=FEATURES, frozen=False)
     frozen = set(full.features)
-    free = prep.fit_folds(tr, "fold", list(range(K)), features=FEATURES)
     rows = []
     for f, m in free.items():
         for c in FEATURES:
