@@ -251,11 +251,15 @@ fin AS (SELECT "index", p1, p2, {BLEND_W} * p3 + {1 - BLEND_W} * (greatest(p2, 1
 
 
 def blended_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A22 -> A23 -> wide per index -> P15 floors -> P16 ratio blend."""
+    """A22 -> A23 -> wide per index -> P15 floors -> P16 ratio blend.
+
+    The weighted blend per (index, target) and the wide table per index are
+    one aggregate: conditional weighted sums, one shuffle on the index."""
     oof = assay_oof(spark, sf_dir)
-    bl = metrics.weighted_blend(oof, metrics.inverse_rmse_weights(oof))
-    wide = bl.groupBy(ID).agg(
-        *[F.max(F.when(F.col("target") == t, F.col("pred"))).alias(f"p{i}") for i, t in enumerate(TARGETS, 1)],
+    weights = metrics.inverse_rmse_weights(oof).select("target", "model", "weight")   # #targets x #models rows
+    scored = oof.join(F.broadcast(weights), ["target", "model"])
+    wide = scored.groupBy(ID).agg(
+        *[F.sum(F.when(F.col("target") == t, F.col("weight") * F.col("pred"))).alias(f"p{i}") for i, t in enumerate(TARGETS, 1)],
         *[F.max(F.when(F.col("target") == t, F.col("y"))).alias(f"y{i}") for i, t in enumerate(TARGETS, 1)],
     )
     pp = wide.select(
