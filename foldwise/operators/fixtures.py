@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators.quantiles import medians
+from foldwise.session import cut_lineage
 from foldwise.sources.views import ID, TARGETS
 
 N_FOLDS = 5
@@ -31,10 +33,23 @@ def _long_targets(df: DataFrame, targets: Sequence[str]) -> DataFrame:
 
 def linear_oof(train: DataFrame, feature: str = "sum_qty", targets: Sequence[str] = TARGETS,
                n_folds: int = N_FOLDS, fold_expr=None) -> DataFrame:
-    """Long OOF table (index, target, model, fold, y, pred) of m_mean and m_lin."""
-    spark = train.sparkSession
+    """Long OOF table (index, target, model, fold, y, pred) of m_mean and m_lin,
+    checkpointed into the shared folder.
+
+    The input (a join over the largest tables) feeds the median passes, the
+    centring aggregate, the per-fold sums and the scoring pass: it is persisted
+    once and released after the OOF table is written."""
     fold = fold_expr if fold_expr is not None else (F.col(ID) % n_folds).cast("int")
     base = train.select(ID, fold.alias("fold"), F.col(feature).cast("double").alias("x"), *targets)
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cut_lineage(_linear_oof(base, targets, n_folds), spread=True)
+    finally:
+        base.unpersist()
+
+
+def _linear_oof(base: DataFrame, targets: Sequence[str], n_folds: int) -> DataFrame:
+    spark = base.sparkSession
     folds = list(range(n_folds))
     med = medians(base, ["x"], fold_col="fold", folds=folds, include_all=True)
     centre_x = med[("x", -1)] or 0.0
