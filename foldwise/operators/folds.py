@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -165,19 +166,29 @@ def cluster_kfold(df: DataFrame, features: Sequence[str], k: int = DEFAULT_FOLDS
     from pyspark.ml.feature import VectorAssembler
 
     feats = list(features)
-    meds = medians(df, feats)
-    filled = df.withColumns({f"__c_{c}": F.coalesce(F.col(c).cast("double"), F.lit(meds.get((c, ALL)) or 0.0)) for c in feats})
-    vec = VectorAssembler(inputCols=[f"__c_{c}" for c in feats], outputCol="__cvec").transform(filled)
-    sample = vec.filter(stable_hash(id_col, seed) % SAMPLE_BUCKETS < int(fit_fraction * SAMPLE_BUCKETS))
-    # the reference's tolerance (1e-4) is relative to the mean feature variance of
-    # the fitted rows; MLlib's is an absolute centre shift: translate it
-    var = sample.agg(*[F.var_pop(f"__c_{c}").alias(c) for c in feats]).first()
-    mean_var = float(np.mean([var[c] or 0.0 for c in feats])) if feats else 0.0
-    eps = math.sqrt(KMEANS_TOL * mean_var) if mean_var > 0 else KMEANS_TOL
-    km = KMeans(k=n_clusters, seed=seed, maxIter=KMEANS_MAX_ITER, tol=eps, featuresCol="__cvec", predictionCol="__cluster")
-    model = km.fit(sample)
-    clustered = model.transform(vec).drop("__cvec", *[f"__c_{c}" for c in feats])
-    out = group_kfold(clustered, "__cluster", k)
+    # medians, the sample statistics, K-Means, the cluster sizes and the
+    # assignment all read the input: keep it (unless the caller already does)
+    # until the fold-tagged table is written
+    own = df.storageLevel == StorageLevel.NONE
+    if own:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        meds = medians(df, feats)
+        filled = df.withColumns({f"__c_{c}": F.coalesce(F.col(c).cast("double"), F.lit(meds.get((c, ALL)) or 0.0)) for c in feats})
+        vec = VectorAssembler(inputCols=[f"__c_{c}" for c in feats], outputCol="__cvec").transform(filled)
+        sample = vec.filter(stable_hash(id_col, seed) % SAMPLE_BUCKETS < int(fit_fraction * SAMPLE_BUCKETS))
+        # the reference's tolerance (1e-4) is relative to the mean feature variance of
+        # the fitted rows; MLlib's is an absolute centre shift: translate it
+        var = sample.agg(*[F.var_pop(f"__c_{c}").alias(c) for c in feats]).first()
+        mean_var = float(np.mean([var[c] or 0.0 for c in feats])) if feats else 0.0
+        eps = math.sqrt(KMEANS_TOL * mean_var) if mean_var > 0 else KMEANS_TOL
+        km = KMeans(k=n_clusters, seed=seed, maxIter=KMEANS_MAX_ITER, tol=eps, featuresCol="__cvec", predictionCol="__cluster")
+        model = km.fit(sample)
+        clustered = model.transform(vec).drop("__cvec", *[f"__c_{c}" for c in feats])
+        out = cut_lineage(group_kfold(clustered, "__cluster", k), spread=True)
+    finally:
+        if own:
+            df.unpersist()
     return ClusterFoldResult(out, feats, n_clusters)
 
 
