@@ -130,3 +130,25 @@ def test_moments_match_numpy(spark, fitted):
         sub = a[fitted["fold"] == f]
         assert np.allclose(mom.cells[f], sub.T @ sub, rtol=1e-12)
     _ = F
+
+
+def test_stacked_predict_matches_hand_computation(spark):
+    names = ["m1", "m2"]
+    metas = {
+        "a": blend.MetaResult("a", None, oof.LinearFit(-1, "meta", "ridge", [0.5, 2.0, 3.0, -1.0, 10.0]), [], [1.0, 2.0]),
+        "b": blend.MetaResult("b", None, oof.LinearFit(-1, "meta", "ridge", [1.5, -0.5, 0.0, 0.0, 1.0]), [], [0.0, 4.0]),
+    }
+    rows = [(1, "a", "m1", 3.0), (1, "a", "m2", 5.0), (1, "b", "m1", 2.0), (1, "b", "m2", 8.0),
+            (2, "a", "m1", None), (2, "a", "m2", 1.0),            # a NULL model input; target b missing
+            (3, "b", "m1", 1.0), (3, "b", "m2", 4.0)]             # target a missing
+    base = spark.createDataFrame(rows, "index long, target string, model string, pred double")
+    got = {r["index"]: (r["a"], r["b"]) for r in blend.stacked_predict(base, metas, names).collect()}
+
+    def hand(meta, xs):
+        beta, c = meta.final.beta, meta.centre
+        a = [0.0 if x is None else x - ci for x, ci in zip(xs, c)] + [1.0 if x is None else 0.0 for x in xs] + [1.0]
+        return float(np.dot(a, beta))
+
+    assert got[1] == pytest.approx((hand(metas["a"], [3.0, 5.0]), hand(metas["b"], [2.0, 8.0])))
+    assert got[2][0] == pytest.approx(hand(metas["a"], [None, 1.0])) and got[2][1] is None
+    assert got[3][0] is None and got[3][1] == pytest.approx(hand(metas["b"], [1.0, 4.0]))
