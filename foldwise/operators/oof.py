@@ -305,16 +305,29 @@ def tree_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str
         if spec.early_stop and cfg.early_stop == "inner":
             # stop on a hash hold-out of the training rows, never on the scored fold
             inner = stable_hash(ID, cfg.seed + 11) % 10 == 0
-            model = fit_tree_fold(tr.filter(~inner), tr.filter(inner), spec, seed)
-        else:
-            model = fit_tree_fold(tr, va, spec, seed)
-        pred = model.transform(va).select(
-            ID, F.lit(name).alias("target"), F.lit(mname).alias("model"), F.lit(f).alias("fold"), "y",
-            _inverse(F.col("prediction"), use_log, cfg.inverse).alias("pred"))
-        return pred
+            return fit_tree_fold(tr.filter(~inner), tr.filter(inner), spec, seed)
+        return fit_tree_fold(tr, va, spec, seed)
 
     with cf.ThreadPoolExecutor(max_workers=cfg.max_parallel_fits) as pool:
-        parts = list(pool.map(run, jobs))
+        fitted = {(j[0], j[1], j[3]): model for j, model in zip(jobs, pool.map(run, jobs))}
+    # scoring: every model of fold f adds its own prediction column to that
+    # fold's rows, so the table is read once per fold (not once per fold x
+    # target x model); the long form is one explode
+    parts = []
+    for f in range(cfg.k):
+        vec = _to_vector(_imputed_vector(features, per_fold[f]))
+        scored = base.filter(F.col("fold") == f).select(
+            ID, *[F.col(n).cast("double").alias(f"__y{ti}") for ti, (n, _) in enumerate(targets)], vec.alias("__v"))
+        cells = []
+        for ti, (name, use_log) in enumerate(targets):
+            for mname in names:
+                model = fitted[(f, name, mname)]
+                col = f"__p{len(cells)}"
+                scored = model.copy({model.predictionCol: col}).transform(scored)
+                cells.append(F.struct(F.lit(name).alias("target"), F.lit(mname).alias("model"), F.col(f"__y{ti}").alias("y"),
+                                      _inverse(F.col(col), use_log, cfg.inverse).alias("pred")))
+        parts.append(scored.select(ID, F.explode(F.array(*cells)).alias("__x")).select(
+            ID, "__x.target", "__x.model", F.lit(f).alias("fold"), "__x.y", "__x.pred"))
     out = parts[0]
     for p_ in parts[1:]:
         out = out.unionByName(p_)
