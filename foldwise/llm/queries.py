@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe_matrix, chat_parts, hd_langid, license_scan, mixing, quality_divergence, shuffle_shards
+from foldwise.llm import bpe_matrix, cap_filters, chat_parts, hd_langid, jaccard_join, license_scan, mixing, quality_divergence, shuffle_shards
 from foldwise.llm.common import n_words, no_null_text, sql_text, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("rec.doc_id", "rec.held_out", "lang_pred", "score")
 
 
+# ---------------------------------------------------------------- 5
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: five-word n-grams, similarity 0.8 or more."""
+    out = jaccard_join.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 # ---------------------------------------------------------------- 6
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -136,6 +143,28 @@ def _op6_sql() -> str:
     FROM t GROUP BY conv_id"""
 
 
+# ---------------------------------------------------------------- 7
+def op7_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings, within labels."""
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+_OP7_SQL = """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+    r AS (SELECT a, b AS c FROM l UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.c),
+    n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+    m AS (SELECT a, min(c) AS low FROM r GROUP BY a)
+    SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+           coalesce(vec_id = least(vec_id, coalesce(low, vec_id)), true) AS kept
+    FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.a = vec_id"""
+
+
 # ---------------------------------------------------------------- 8
 def tokenizer() -> tuple[str, str]:
     """Rank file and split pattern of the public tokenizer."""
@@ -187,7 +216,8 @@ def _op10_sql() -> str:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_license_scan, op2_quality_divergence, op3_shuffle_shards, op4_language_id, op6_chat_format, op8_bpe_tokens, op10_mix_sources)}
+    op1_license_scan, op2_quality_divergence, op3_shuffle_shards, op4_language_id, op5_jaccard_join,
+    op6_chat_format, op7_cap_filters, op8_bpe_tokens, op10_mix_sources)}
 
 
 def queries() -> dict[str, QueryFn]:
@@ -195,4 +225,4 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _op1_sql(), "op6_chat_format": _op6_sql(), "op10_mix_sources": _op10_sql()}
+    return {"op1_license_scan": _op1_sql(), "op6_chat_format": _op6_sql(), "op7_cap_filters": _OP7_SQL, "op10_mix_sources": _op10_sql()}
