@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +31,28 @@ from foldwise.llm.graph import connected_components, in_blocks, map_groups
 
 MIN_COSINE = 0.98
 BLOCKS = 3
-CODEWORDS = 16
-ALPHA = 0.27
-LEAST = 12
+#: directions that a vector is in on average, and at least
+WANT = 32
+LEAST = 24
+#: vectors per bucket, over all labels, that the number of codewords aims at
+BUCKET = 500
+MIN_CODEWORDS = 8
 SEED = 1601
 #: vectors decoded together
 CHUNK = 2048
 
 
+def choose_codewords(n: int, blocks: int = BLOCKS, want: int = WANT, bucket: int = BUCKET) -> int:
+    """Codewords per block so that the buckets of n vectors stay about as large at every n."""
+    return max(MIN_CODEWORDS, int(np.ceil((n * want / bucket) ** (1 / blocks))))
+
+
+def choose_alpha(dims: int, codewords: int, blocks: int = BLOCKS, want: int = WANT) -> float:
+    """Threshold that a random vector reaches for ``want`` directions on average."""
+    share = min(0.5, want / codewords ** min(blocks, dims))
+    return NormalDist().inv_cdf(1 - share) / np.sqrt(dims) if share < 0.5 else 0.0
+
+
 @cache
 def product_code(dims: int, blocks: int, codewords: int, seed: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """(rotation, unit codewords of each block)."""
@@ -47,9 +62,9 @@ def product_code(dims: int, blocks: int, codewords: int, seed: int) -> tuple[np.
     return rotation, [w / np.linalg.norm(w, axis=1, keepdims=True) for w in words]
 
 
-def decode_list(unit: np.ndarray, blocks: int = BLOCKS, codewords: int = CODEWORDS, alpha: float = ALPHA,
+def decode_list(unit: np.ndarray, codewords: int = MIN_CODEWORDS, blocks: int = BLOCKS, want: int = WANT,
                 least: int = LEAST, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """(row, direction) of every direction that exceeds alpha, at least ``least`` per row, sorted by row and direction."""
+    """(row, direction) of every direction that reaches the threshold, at least ``least`` per row, sorted by row and direction."""
     rotation, words = product_code(unit.shape[1], blocks, codewords, seed)
     turned = unit @ rotation
     ends = np.cumsum([w.shape[1] for w in words])
@@ -69,17 +84,19 @@ def decode_list(unit: np.ndarray, blocks: int = BLOCKS, codewords: int = CODEWOR
             at, code, total = at[live], code[live], total[live]
         return at, code, total
 
-    need = np.full(len(unit), alpha * np.sqrt(len(words)))
-    at, code, _ = decode(np.arange(len(unit)), need)
-    few = np.flatnonzero(np.bincount(at, minlength=len(unit)) < least)
-    if len(few):
-        need[few] = -np.inf
-        more, codes, total = decode(few, need)
+    least = min(least, int(np.prod([len(w) for w in words])))
+    alpha = choose_alpha(unit.shape[1], codewords, blocks, want) * np.sqrt(len(words))
+    at, code, _ = decode(np.arange(len(unit)), np.full(len(unit), alpha))
+    few, step = np.flatnonzero(np.bincount(at, minlength=len(unit)) < least), 1
+    while len(few):  # lower the threshold of the rows with too few, then keep their best
+        more, codes, total = decode(few, np.full(len(unit), alpha - 0.15 * step * (abs(alpha) + 0.05)))
+        enough = np.bincount(more, minlength=len(unit))[few] >= least
+        done, few, step = few[enough], few[~enough], 2 * step
         order = np.lexsort((codes, -total, more))
         more, codes = more[order], codes[order]
-        place = np.arange(len(more)) - np.searchsorted(more, more)
-        keep = ~np.isin(at, few)
-        at, code = np.concatenate([at[keep], more[place < least]]), np.concatenate([code[keep], codes[place < least]])
+        best = np.isin(more, done) & (np.arange(len(more)) - np.searchsorted(more, more) < least)
+        keep = ~np.isin(at, done)
+        at, code = np.concatenate([at[keep], more[best]]), np.concatenate([code[keep], codes[best]])
     order = np.lexsort((code, at))
     return at[order], code[order]
 
@@ -118,7 +135,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 
 def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
-                 min_cosine: float = MIN_COSINE, blocks: int = BLOCKS, codewords: int = CODEWORDS, alpha: float = ALPHA,
+                 min_cosine: float = MIN_COSINE, blocks: int = BLOCKS, want: int = WANT,
                  least: int = LEAST, seed: int = SEED) -> DataFrame:
     """(id, n_links, component_id, kept), one row per row.
 
@@ -129,12 +146,13 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     are never compared; rows that repeat an id are vectors of their own that
     share a component; other columns are not read."""
     v = F.col("v")
-    rows = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"),
+    kind = "float" if vectors.select(f"`{vector}`").dtypes[0][1] == "array<float>" else "double"
+    rows = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast(f"array<{kind}>").alias("v"),
                           F.col(f"`{label}`").cast("string").alias("label"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = (F.col("id").isNotNull() & F.col("label").isNotNull() & v.isNotNull()
               & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0))
-    good = rows.where(usable).select("id", "label", F.transform(v, lambda x: x + F.lit(0.0)).alias("v"))
+    good = rows.where(usable).select("id", "label", F.transform(v, lambda x: x + F.lit(0.0).cast(kind)).alias("v"))
     # equal vectors of a label: one node, with its smallest id and number of rows; the class is keyed by a 128-bit digest
     good = good.select("id", F.md5(F.concat_ws("|", "label", F.array_join(F.transform("v", lambda x: x.cast("string")), ","))
                                    .cast("binary")).alias("cls"), "label", "v")
@@ -144,6 +162,8 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                        .select(F.xxhash64("cls").alias("node"), "cls", "copies", "v",
                                F.xxhash64("label", F.size("v")).alias("space")))
 
+    codewords = choose_codewords(nodes.count(), blocks, want)
+
     def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes = np.diff(b.column("v").offsets.to_numpy())
@@ -152,13 +172,13 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                 at = np.flatnonzero(sizes == size)
                 for k in range(0, len(at), CHUNK):
                     part = at[k: k + CHUNK]
-                    row, code = decode_list(_unit(_matrix(b.column("v").take(pa.array(part)))), blocks, codewords, alpha, least, seed)
+                    row, code = decode_list(_unit(_matrix(b.column("v").take(pa.array(part)))), codewords, blocks, want, least, seed)
                     for i, codes in zip(part, np.split(code, np.searchsorted(row, np.arange(1, len(part)))), strict=True):
                         out[i] = codes.tolist()
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("space"), pa.array(out, pa.list_(pa.int64()))],
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("space"), pa.array(out, pa.list_(pa.int32()))],
                                              names=["node", "space", "filters"])
 
-    listed = checkpoint(nodes.select("node", "space", "v").mapInArrow(filters, "node long, space long, filters array<long>"))
+    listed = checkpoint(nodes.select("node", "space", "v").mapInArrow(filters, "node long, space long, filters array<int>"))
     buckets = listed.select("node", F.explode("filters").alias("f"), "space").select(
         F.xxhash64("space", "f").alias("bucket"), "f", "node", "space")
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
