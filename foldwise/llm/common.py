@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +44,19 @@ def n_words(col: str | Column) -> Column:
 def sql_text(value: str) -> str:
     """A SQL string literal."""
     return "'" + value.replace("'", "''") + "'"
+
+
+#: bytes of text that one numpy pass works on, which bounds its memory
+CHUNK_BYTES = 1 << 21
+
+
+def byte_chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[slice]:
+    """Consecutive slices of a binary array of at most ``most`` bytes (or one value)."""
+    start = size = 0
+    for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
+        if i > start and size + n > most:
+            yield slice(start, i)
+            start, size = i, 0
+        size += n
+    if len(texts):
+        yield slice(start, len(texts))

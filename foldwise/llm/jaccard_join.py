@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import checkpoint
+from foldwise.llm.common import byte_chunks, checkpoint
 from foldwise.llm.graph import connected_components, in_blocks, map_groups
 
 N = 5
@@ -140,7 +140,7 @@ def sign_documents(docs: DataFrame, bands: int, rows: int, n: int, key: str = "d
     raw = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"))):
             grams, counts, words = ngram_hashes(b.column("text"), n)
             sums = np.concatenate([[np.uint64(0)], np.cumsum(grams, dtype=np.uint64)])
             upto = np.concatenate([[0], np.cumsum(counts)])
@@ -158,7 +158,7 @@ def ngram_sets(docs: DataFrame, n: int) -> DataFrame:
     """(id, grams): sorted distinct n-gram hashes as bytes, of rows (id, text as binary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"))):
             grams, counts, _ = ngram_hashes(b.column("text"), n)
             upto = np.concatenate([[0], np.cumsum(counts)])
             sets = [np.unique(grams[s:e]).tobytes() for s, e in zip(upto[:-1], upto[1:], strict=True)]

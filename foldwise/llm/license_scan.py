@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.llm.common import byte_chunks
+
 WORD = rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: fixed values: label -> markup
@@ -191,7 +193,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str], key: str = "doc_id
     match_type = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("end_word", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"))):
             texts = b.column("text")
             counts, found = _lower_word_counts(texts), []
             for value in texts:
