@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe_matrix, cap_filters, chat_parts, hd_langid, jaccard_join, license_scan, mixing, quality_divergence, shuffle_shards
+from foldwise.llm import bpe_matrix, cap_filters, chat_parts, hd_langid, jaccard_join, license_scan, mixing, quality_divergence, shuffle_shards, suffix_dedup
 from foldwise.llm.common import n_words, no_null_text, sql_text, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -182,6 +182,15 @@ def op8_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+# ---------------------------------------------------------------- 9
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 50-byte strings that start in a document of smaller id."""
+    out = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), [F.col("doc_id")])
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["length"])
+    return out.select("rec.doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # ---------------------------------------------------------------- 10
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of all documents in the mix, by words."""
@@ -217,7 +226,7 @@ def _op10_sql() -> str:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_license_scan, op2_quality_divergence, op3_shuffle_shards, op4_language_id, op5_jaccard_join,
-    op6_chat_format, op7_cap_filters, op8_bpe_tokens, op10_mix_sources)}
+    op6_chat_format, op7_cap_filters, op8_bpe_tokens, op9_suffix_dedup, op10_mix_sources)}
 
 
 def queries() -> dict[str, QueryFn]:
