@@ -45,8 +45,10 @@ BLOCK_BYTES = 12 << 20
 #: an anchor in more blocks than this is cut into single windows
 HOT_BLOCKS = 1000
 #: hash buckets per block of text, and the number of buckets up to which there is one per block
-BUCKET_BLOCKS = 8
+BUCKET_BLOCKS = 4
 MANY = 64
+#: parts of a bucket's segments whose suffix arrays are built one after the other, which bounds memory
+PARTS = 16
 _BYTE = np.random.Generator(np.random.Philox(key=505)).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: bounds the segments: not a byte of UTF-8
 END = 0xFF
@@ -317,34 +319,43 @@ def _segments(t: pa.Table, found: pa.Table, width: int, k: int, buckets: int) ->
     for b, at in _by_bucket((route % np.uint64(buckets)).astype(np.int64)):
         lead = at[head[at]]  # one copy of the bytes for all places of an equal segment in one row
         cut = np.repeat(start[lead] - (np.cumsum(size[lead]) - size[lead]), size[lead]) + np.arange(size[lead].sum())
-        rows.append((b, block, 0, _pack(place=start[at], head=head[at], size=size[lead], who=who[lead], text=data[cut])))
+        part = (route[lead] // np.uint64(buckets) % np.uint64(PARTS)).astype(np.uint8)
+        rows.append((b, block, 0, _pack(place=start[at], head=head[at], size=size[lead], who=who[lead], part=part, text=data[cut])))
     return _table(rows, names, kinds)
 
 
 def _repeats(t: pa.Table, width: int) -> pa.Table:
-    """Step 4: suffix array of the bucket's segments; stretches to remove, by block."""
-    rows = [(b, p) for b, kind, p in zip(t["block"].to_pylist(), t["kind"].to_pylist(), t["payload"].to_pylist(), strict=True) if kind]
-    numbers: dict[bytes, int] = {}
-    low: list[int] = []
-    occurrences = []  # (block, segment, id, places)
+    """Step 4: suffix arrays of the bucket's segments; stretches to remove, by block."""
+    rows, held = [], []
     for b, kind, p in zip(t["block"].to_pylist(), t["kind"].to_pylist(), t["payload"], strict=True):
         if kind:
-            continue
-        place, head, size, who, text = _unpack(memoryview(p.as_buffer()), "<i8", "?", "<i8", "<i8", "u1")
-        raw, ends = text.tobytes(), np.cumsum(size).tolist()
-        number = np.empty(len(size), np.int64)
-        for i, (e, n, w) in enumerate(zip(ends, size.tolist(), who.tolist(), strict=True)):
-            x = numbers.setdefault(raw[e - n: e], len(numbers))
+            rows.append((b, p.as_py()))
+        else:
+            place, head, size, who, part, text = _unpack(memoryview(p.as_buffer()), "<i8", "?", "<i8", "<i8", "u1", "u1")
+            held.append((b, place, np.cumsum(head) - 1, np.cumsum(size), size, who, part, text))
+    for k in range(PARTS):
+        rows += _repeats_of_part(held, k, width)
+    return _table(rows, ["block", "payload"], [pa.int32(), pa.binary()])
+
+
+def _repeats_of_part(held: list[tuple], k: int, width: int) -> list[tuple]:
+    numbers: dict[bytes, int] = {}
+    low: list[int] = []
+    occurrences = []  # (block, segment, id, place)
+    for b, place, at, ends, size, who, part, text in held:
+        mine = np.flatnonzero(part == k)
+        number = np.full(len(size), -1, np.int64)
+        for i, e, n, w in zip(mine.tolist(), ends[mine].tolist(), size[mine].tolist(), who[mine].tolist(), strict=True):
+            x = numbers.setdefault(text[e - n: e].tobytes(), len(numbers))
             if x == len(low):
                 low.append(w)
             elif w < low[x]:
                 low[x] = w
             number[i] = x
-        at = np.cumsum(head) - 1
-        occurrences.append((np.full(len(place), b), number[at], who[at], place))
-    names, kinds = ["block", "payload"], [pa.int32(), pa.binary()]
+        here = number[at] >= 0
+        occurrences.append((np.full(int(here.sum()), b), number[at[here]], who[at[here]], place[here]))
     if not numbers:
-        return _table(rows, names, kinds)
+        return []
     segs = list(numbers)
     sizes = np.array([len(s) for s in segs], np.int64)
     end = bytes([END])
@@ -371,8 +382,7 @@ def _repeats(t: pa.Table, width: int) -> pa.Table:
     s = np.concatenate([place[whole], np.repeat(place, n) + rel[pick]])
     z = np.concatenate([sizes[number[whole]], length[pick]])
     b = np.concatenate([block[whole], np.repeat(block, n)])
-    rows += [(x, _pack(s=s[i], n=z[i])) for x, i in _by_bucket(b)]
-    return _table(rows, names, kinds)
+    return [(x, _pack(s=s[i], n=z[i])) for x, i in _by_bucket(b)]
 
 
 def _cut(t: pa.Table, gone: pa.Table) -> pa.Table:
