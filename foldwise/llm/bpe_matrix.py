@@ -30,9 +30,9 @@ from pyspark.sql import types as T
 
 LONG_BYTES = 512
 #: distinct pieces that a Python worker remembers
-PIECES_KEPT = 500_000
+PIECES_KEPT = 250_000
 #: code points of the texts that are split and merged together, which bounds memory
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 1 << 20
 _NONE = np.int32(np.iinfo(np.int32).max)
 
 
