@@ -181,6 +181,8 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 def similar_matrix(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
     """Boolean matrix of pairs at or over the threshold: shared n-grams are counted by matrix products, columns in blocks."""
+    if not left or not right:  # a block may be empty
+        return np.zeros((len(left), len(right)), bool)
     n_left, n_right = np.array([len(x) for x in left]), np.array([len(x) for x in right])
     grams = np.concatenate([*left, *right])
     row = np.repeat(np.arange(len(left) + len(right)), np.concatenate([n_left, n_right]))
