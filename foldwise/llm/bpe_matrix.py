@@ -28,11 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwise.llm.common import byte_chunks
+
 LONG_BYTES = 512
 #: distinct pieces that a Python worker remembers
 PIECES_KEPT = 250_000
-#: code points of the texts that are split and merged together, which bounds memory
-CHUNK_CHARS = 1 << 20
+#: bytes of the texts that are split and merged together, which bounds memory
+CHUNK_BYTES = 1 << 20
 _NONE = np.int32(np.iinfo(np.int32).max)
 
 
@@ -252,34 +254,27 @@ def decode_ids(ids: np.ndarray, ranks: Ranks) -> bytes:
     return _ragged(ranks.flat, ranks.start[at], ranks.lens[at]).tobytes()
 
 
-def _chunks(texts: list[str]) -> Iterator[slice]:
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK_CHARS:
-            yield slice(start, i)
-            start = i
-            size = 0
-        size += len(t)
-    yield slice(start, len(texts))
-
-
-def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[Column], text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[Column], text: str = "text",
+           decoded: bool = False) -> DataFrame:
     """``rec`` (struct of ``keep``) and ``ids`` (little-endian unsigned 32-bit token ids, binary) of each row.
 
+    With ``decoded`` also the bytes that the ids decode to, in the same pass.
     NULL and empty texts have no token; repeated rows are rows of their own;
     columns outside ``keep`` are not read; an empty table gives an empty result.
     The rank file must lie at ``ranks_path`` on every executor."""
     rows = docs.select(F.struct(*keep).alias("rec"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     schema = T.StructType([rows.schema["rec"], T.StructField("ids", T.BinaryType())])
+    if decoded:
+        schema.add("decoded", T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, split = load_pieces(ranks_path), regex.compile(pattern)
-        for b in batches:
-            texts = b.column("text").to_pylist()
-            for part in _chunks(texts):
-                ids = [v.astype("<u4").tobytes() for v in encode_texts(texts[part], split, known)]
-                yield pa.RecordBatch.from_arrays([b.column("rec").slice(part.start, len(ids)), pa.array(ids, pa.binary())],
-                                                 names=["rec", "ids"])
+        for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"), CHUNK_BYTES)):
+            ids = encode_texts(b.column("text").to_pylist(), split, known)
+            columns = [b.column("rec"), pa.array([v.astype("<u4").tobytes() for v in ids], pa.binary())]
+            if decoded:
+                columns.append(pa.array([decode_ids(v, known.ranks) for v in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -290,7 +285,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = load_ranks(ranks_path)
-        for b in batches:
+        for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("ids"), CHUNK_BYTES)):
             out = [decode_ids(np.frombuffer(v.as_py() or b"", "<u4"), ranks) for v in b.column("ids")]
             yield pa.RecordBatch.from_arrays([b.column("rec"), b.column("ids"), pa.array(out, pa.binary())], names=["rec", "ids", "decoded"])
 

@@ -53,7 +53,7 @@ CHUNK_BYTES = 1 << 21
 def byte_chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[slice]:
     """Consecutive slices of a binary array of at most ``most`` bytes (or one value)."""
     start = size = 0
-    for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
+    for i, n in enumerate(pa.compute.binary_length(texts).fill_null(0).to_pylist()):
         if i > start and size + n > most:
             yield slice(start, i)
             start, size = i, 0

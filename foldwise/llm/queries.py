@@ -177,7 +177,7 @@ def op8_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, then decoded."""
     path, pattern = tokenizer()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = bpe_matrix.decode(bpe_matrix.encode(docs, path, pattern, [F.col("doc_id")]), path)
+    out = bpe_matrix.encode(docs, path, pattern, [F.col("doc_id")], decoded=True)
     return out.select("rec.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -306,6 +306,8 @@ def test_bpe_equals_library(spark, docs, nothing):
     for r in out:
         assert np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(r.rec.text or "")
         assert bytes(r.decoded) == (r.rec.text or "").encode()
+    both = bpe_matrix.encode(rows, path, pattern, [F.col("text")], decoded=True).collect()
+    assert sorted(map(str, both)) == sorted(map(str, out))
     assert bpe_matrix.encode(nothing, path, pattern, [F.col("text")]).count() == 0
     small = bpe_matrix.Pieces(ranks, most=3)
     import regex
