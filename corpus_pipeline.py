@@ -60,7 +60,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     path, pattern = tokenizer()
     keep = [F.col("doc_id"), F.col("lang"), F.col("source"), F.md5(F.coalesce("text", F.lit(""))).alias("digest")]
-    out = bpe_matrix.decode(bpe_matrix.encode(docs, path, pattern, keep), path)
+    out = bpe_matrix.encode(docs, path, pattern, keep, decoded=True)
     return out.select("rec.doc_id", "rec.lang", "rec.source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       (F.md5("decoded") == F.col("rec.digest")).alias("round_trip"))
 
