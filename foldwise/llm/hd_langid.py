@@ -24,14 +24,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwise.llm.common import byte_chunks
+
 DIMENSIONS = 1024
 N = 3
 SEED = 4001
 #: more learned values than this in ``lang`` raise: prototypes travel with the tasks
 MAX_LANGUAGES = 2000
 UNKNOWN = "und"
-#: code points of one product, which bounds its memory
-CHUNK_CHARS = 1 << 19
+#: bytes of text and rows of one product, which bound its memory
+CHUNK_BYTES = 1 << 18
+CHUNK_ROWS = 256
 
 
 @cache
@@ -84,14 +87,12 @@ def bundles(texts: list[str | None], n: int = N, dims: int = DIMENSIONS, seed: i
     return counts @ ngram_vectors(grams[first], dims, seed).astype(np.float32), counts.sum(axis=1).astype(np.int64)
 
 
-def _chunks(texts: list[str | None], most: int = CHUNK_CHARS) -> Iterator[slice]:
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and (size + len(t or "") > most or i - start >= 512):
-            yield slice(start, i)
-            start, size = i, 0
-        size += len(t or "")
-    yield slice(start, len(texts))
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches of at most CHUNK_ROWS rows and CHUNK_BYTES bytes of text (or one row)."""
+    for b in batches:
+        for c in byte_chunks(b.column("text"), CHUNK_BYTES):
+            for start in range(c.start, c.stop, CHUNK_ROWS):
+                yield b.slice(start, min(CHUNK_ROWS, c.stop - start))
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", n: int = N, dims: int = DIMENSIONS,
@@ -105,12 +106,11 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", n: int =
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for b in batches:
-            texts, langs = b.column("text").to_pylist(), np.array(b.column("lang").to_pylist(), dtype=object)
-            for part in _chunks(texts):
-                vectors, _ = bundles(texts[part], n, dims, seed)
-                for name in set(langs[part]):
-                    sums[name] = sums.get(name, 0) + vectors[langs[part] == name].sum(axis=0, dtype=np.float64)
+        for b in _slices(batches):
+            langs = np.array(b.column("lang").to_pylist(), dtype=object)
+            vectors, _ = bundles(b.column("text").to_pylist(), n, dims, seed)
+            for name in set(langs):
+                sums[name] = sums.get(name, 0) + vectors[langs == name].sum(axis=0, dtype=np.float64)
         for name, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * dims), pa.array(np.arange(dims, dtype=np.int32)),
                                               pa.array(v.astype(np.int64))], names=["lang", "dim", "s"])
@@ -135,20 +135,17 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[Colum
     schema = T.StructType([rows.schema["rec"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, langs, scores = b.column("text").to_pylist(), [], []
-            for part in _chunks(texts):
-                vectors, grams = bundles(texts[part], n, dims, seed)
-                if unit is None:
-                    langs += [UNKNOWN] * len(vectors)
-                    scores.append(np.zeros(len(vectors)))
-                    continue
+        for b in _slices(batches):
+            vectors, grams = bundles(b.column("text").to_pylist(), n, dims, seed)
+            if unit is None:
+                langs, scores = [UNKNOWN] * b.num_rows, np.zeros(b.num_rows)
+            else:
                 v = vectors.astype(np.float64)
                 cos = np.round(v @ unit.T / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300), 9)
                 best = cos.argmax(axis=1)
-                langs += [names[i] if g else UNKNOWN for i, g in zip(best, grams, strict=True)]
-                scores.append(np.where(grams > 0, np.clip(cos[np.arange(len(v)), best], 0, 1), 0.0))
-            yield pa.RecordBatch.from_arrays([b.column("rec"), pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
+                langs = [names[i] if g else UNKNOWN for i, g in zip(best, grams, strict=True)]
+                scores = np.where(grams > 0, np.clip(cos[np.arange(len(v)), best], 0, 1), 0.0)
+            yield pa.RecordBatch.from_arrays([b.column("rec"), pa.array(langs, pa.string()), pa.array(scores)],
                                              names=["rec", "lang_pred", "score"])
 
     return rows.mapInArrow(score, schema)
