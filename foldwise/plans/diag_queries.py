@@ -229,7 +229,7 @@ def diagnostics_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for section, body in doc.items():
         if isinstance(body, dict):
             for k, v in body.items():
-                rows.append((section, str(k), json.dumps(v, default=float)[:500]))
+                rows.append((section, str(k), json.dumps(v, default=float)))
         else:
-            rows.append((section, "", json.dumps(body, default=float)[:500]))
+            rows.append((section, "", json.dumps(body, default=float)))
     return spark.createDataFrame(rows, "section string, key string, value string")

@@ -32,11 +32,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a scratch folder is created.
+    Only when a local session names none (tests) a scratch folder is created; a
+    cluster without the setting raises, since executors do not share /tmp.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="foldwise-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
