@@ -47,7 +47,7 @@ def sql_text(value: str) -> str:
 
 
 #: bytes of text that one numpy pass works on, which bounds its memory
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 def byte_chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[slice]:
