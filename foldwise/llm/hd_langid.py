@@ -9,13 +9,13 @@ language whose prototype has the largest cosine with it.
 Texts are lower-cased, runs of other characters than letters become one blank,
 and a blank stands before and after the text, so a text with a letter has an
 n-gram.  Bundles are exact integers, so prototypes do not depend on how rows are
-partitioned.  A batch is bundled as one product: (texts x distinct n-grams)
-counts times (distinct n-grams x dimensions).
+partitioned.  A batch is bundled as products of (texts x distinct n-grams) counts
+and (distinct n-grams x dimensions) vectors, some n-grams at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -32,9 +32,10 @@ SEED = 4001
 #: more learned values than this in ``lang`` raise: prototypes travel with the tasks
 MAX_LANGUAGES = 2000
 UNKNOWN = "und"
-#: bytes of text and rows of one product, which bound its memory
+#: bytes of text, rows and n-grams of one product, which bound its memory
 CHUNK_BYTES = 1 << 18
 CHUNK_ROWS = 256
+CHUNK_GRAMS = 8192
 
 
 @cache
@@ -82,17 +83,24 @@ def bundles(texts: list[str | None], n: int = N, dims: int = DIMENSIONS, seed: i
     for j in range(n):
         packed = packed * np.uint64(0x110000) + grams[:, j]
     _, first, at = np.unique(packed, return_index=True, return_inverse=True)
-    g = len(first)
-    counts = np.bincount(text * g + at.reshape(-1), minlength=len(parts) * g).reshape(len(parts), g).astype(np.float32)
-    return counts @ ngram_vectors(grams[first], dims, seed).astype(np.float32), counts.sum(axis=1).astype(np.int64)
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of the batches of at most CHUNK_ROWS rows and CHUNK_BYTES bytes of text (or one row)."""
+    order = np.argsort(at.reshape(-1), kind="stable")
+    at, of = at.reshape(-1)[order], text[order]
+    for start in range(0, len(first), CHUNK_GRAMS):
+        part = grams[first[start: start + CHUNK_GRAMS]]
+        a, b = np.searchsorted(at, [start, start + len(part)])
+        counts = np.bincount(of[a:b] * len(part) + at[a:b] - start, minlength=len(parts) * len(part))
+        out += counts.reshape(len(parts), len(part)).astype(np.float32) @ ngram_vectors(part, dims, seed).astype(np.float32)
+    return out, np.bincount(text, minlength=len(parts)).astype(np.int64)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], text: Callable[[pa.RecordBatch], pa.Array]) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Parts of the batches of at most CHUNK_ROWS rows and CHUNK_BYTES bytes of text (or one row), with their texts."""
     for b in batches:
-        for c in byte_chunks(b.column("text"), CHUNK_BYTES):
+        texts = text(b)
+        for c in byte_chunks(texts, CHUNK_BYTES):
             for start in range(c.start, c.stop, CHUNK_ROWS):
-                yield b.slice(start, min(CHUNK_ROWS, c.stop - start))
+                n = min(CHUNK_ROWS, c.stop - start)
+                yield b.slice(start, n), texts.slice(start, n).to_pylist()
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", n: int = N, dims: int = DIMENSIONS,
@@ -106,9 +114,9 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", n: int =
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for b in _slices(batches):
+        for b, texts in _slices(batches, lambda b: b.column("text")):
             langs = np.array(b.column("lang").to_pylist(), dtype=object)
-            vectors, _ = bundles(b.column("text").to_pylist(), n, dims, seed)
+            vectors, _ = bundles(texts, n, dims, seed)
             for name in set(langs):
                 sums[name] = sums.get(name, 0) + vectors[langs == name].sum(axis=0, dtype=np.float64)
         for name, v in sums.items():
@@ -128,15 +136,19 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[Colum
     """``rec`` (struct of ``keep``), ``lang_pred`` and ``score`` (cosine, cut to 0..1) of every row's whole text.
 
     NULL texts and texts without a letter get ``und`` and 0; so does every text
-    if nothing was learned.  Equal cosines go to the smaller language name."""
+    if nothing was learned.  Equal cosines go to the smaller language name.  A
+    kept column named like the text must be the text: it is sent to Python once."""
     rows = docs.select(F.struct(*keep).alias("rec"), F.col(f"`{text}`").alias("text"))
+    kept_text = text in rows.schema["rec"].dataType.names
+    if kept_text:
+        rows = rows.select("rec")
     names = sorted(prototypes)
     unit = np.stack([prototypes[k] / max(np.linalg.norm(prototypes[k]), 1e-300) for k in names]) if names else None
     schema = T.StructType([rows.schema["rec"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
-            vectors, grams = bundles(b.column("text").to_pylist(), n, dims, seed)
+        for b, texts in _slices(batches, lambda b: b.column("rec").field(text) if kept_text else b.column("text")):
+            vectors, grams = bundles(texts, n, dims, seed)
             if unit is None:
                 langs, scores = [UNKNOWN] * b.num_rows, np.zeros(b.num_rows)
             else:

@@ -130,7 +130,7 @@ def test_shuffled_shards(spark, docs, nothing, tmp_path):
 
 
 # ---------------------------------------------------------------- 4
-def test_language_profiles(spark, docs, nothing):
+def test_language_profiles(spark, docs, nothing, monkeypatch):
     grams = np.array([[97, 98, 99]], np.uint32)
     a, b, c = (hd_langid.letter_vector(x, 64, 1).astype(int) for x in (97, 98, 99))
     assert (hd_langid.ngram_vectors(grams, 64, 1)[0] == np.roll(a, 2) * np.roll(b, 1) * c).all()
@@ -147,6 +147,10 @@ def test_language_profiles(spark, docs, nothing):
     want = [r for r in odd_rows() if not re.search(r"[^\W\d_]", r[1] or "")]
     assert sorted(str(r.rec.doc_id) for r in out if r.lang_pred == "und") == sorted(str(r[0]) for r in want)
     assert hd_langid.predict(nothing, learned, [F.col("doc_id")]).count() == 0
+    kept = hd_langid.predict(docs, learned, [F.col("doc_id"), F.col("text")]).collect()  # the text travels in rec
+    assert sorted((str(r.rec.doc_id), str(r.lang_pred), r.score) for r in kept) == sorted((str(r.rec.doc_id), str(r.lang_pred), r.score) for r in out)
+    monkeypatch.setattr(hd_langid, "CHUNK_GRAMS", 3)  # n-grams in many products: same bundle
+    assert (hd_langid.bundles(["Ab c", "ab  C!", None, "1 2", "a", "many more n-grams"], dims=64, seed=1)[0][:5] == v).all()
     assert {r.lang_pred for r in hd_langid.predict(docs, {}, [F.col("doc_id")]).collect()} == {"und"}
 
 
