@@ -61,12 +61,18 @@ def skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str], others: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation with pairwise-complete rows, for every pair a < b
-    of ``cols`` (or every (col, other) pair).  One aggregate pass."""
+    of ``cols`` (or every (col, other) pair).  One aggregate pass; a column
+    that is constant over a pair's rows has a NULL correlation."""
+    def both(a: str, b: str) -> Column:
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+
     if others is None:
         pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     else:
         pairs = [(a, b) for a in cols for b in others if a != b]
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    agg = df.agg(*[both(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     long = agg.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)
     ])).alias("p"))
@@ -88,7 +94,8 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def mean_shift(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """|mean_test - mean_train| / std_train (ddof 1) per column from a tagged union."""
+    """|mean_test - mean_train| / std_train (ddof 1) per column from a tagged union
+    (NULL for a column that is constant in train)."""
     both = long_form(train, cols).withColumn("is_test", F.lit(False)).unionByName(
         long_form(test, cols).withColumn("is_test", F.lit(True))
     )
@@ -97,7 +104,7 @@ def mean_shift(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFr
         F.avg(F.when(F.col("is_test"), F.col("value"))).alias("mean_test"),
         F.stddev_samp(F.when(~F.col("is_test"), F.col("value"))).alias("std_train"),
     )
-    return g.withColumn("shift", F.abs(F.col("mean_test") - F.col("mean_train")) / F.col("std_train"))
+    return g.withColumn("shift", F.try_divide(F.abs(F.col("mean_test") - F.col("mean_train")), F.col("std_train")))
 
 
 def prefix_means(df: DataFrame, prefix: str) -> DataFrame:
@@ -133,13 +140,9 @@ def ratio_identity(df: DataFrame, ratio: str, num: str, den: str, eps: float = 1
     return df.agg(F.max(d).alias("max_abs_diff"), F.count(F.lit(1)).alias("n"))
 
 
-
-CORR_GRAM_MIN_COLUMNS = 8    # above this many columns, correlations come from one Gram pass
-
-
-def correlation_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A14 for wide tables: pairwise-complete Pearson correlations of every pair
-    from ONE scan.  The moment matrix of [x0 | x0^2 | NULL flags | 1] (x0 = x - c,
+def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A14 for any width: pairwise-complete Pearson correlations of every pair
+    from ONE scan, NULL where a column is constant over the pair's rows.  The moment matrix of [x0 | x0^2 | NULL flags | 1] (x0 = x - c,
     0 where NULL) contains, for each pair, the count, sums, sums of squares and
     cross products over the rows where both are present."""
     import numpy as np
@@ -170,14 +173,8 @@ def correlation_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             sij = mom[x0(i), x0(j)]
             cov = sij - si * sj / n if n > 0 else np.nan
             vi, vj = sii - si * si / n if n > 0 else np.nan, sjj - sj * sj / n if n > 0 else np.nan
-            r = cov / np.sqrt(vi * vj) if n > 1 and vi > 0 and vj > 0 else None
+            # a spread below the rounding of the centred values is a constant column
+            varies = n > 1 and vi > n * (1e-14 * centre[i]) ** 2 and vj > n * (1e-14 * centre[j]) ** 2
+            r = cov / np.sqrt(vi * vj) if varies else None
             rows.append((cols[i], cols[j], None if r is None else float(r)))
     return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
-
-
-def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A14 dispatcher: one aggregate of F.corr pairs for narrow tables, the Gram
-    pass for wide ones (the number of pair expressions grows with p^2)."""
-    if len(cols) > CORR_GRAM_MIN_COLUMNS:
-        return correlation_gram(df, cols)
-    return correlation_pairs(df, cols)

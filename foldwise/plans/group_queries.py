@@ -143,31 +143,31 @@ _H = "('0x' || substr(md5(CAST({c} AS VARCHAR) || ':{s}'), 1, 8))::BIGINT"
 
 @register("hash_kfold", f"""WITH {_cte()}
 SELECT CAST({_H.format(c='"index"', s=SEED)} % {K} AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS n,
-       CAST(sum("index") AS BIGINT) AS id_sum FROM a WHERE NOT is_test GROUP BY 1""")
+       CAST(sum("index") AS VARCHAR) AS id_sum FROM a WHERE NOT is_test GROUP BY 1""")
 def hash_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded, order-free k-fold."""
     tr = folds.hash_kfold(views.train_part(views.assay(spark, sf_dir)), K, SEED)
-    return tr.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(ID).cast("bigint").alias("id_sum"))
+    return tr.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(ID).cast("decimal(20,0)")).cast("string").alias("id_sum"))
 
 
 @register("stratified_kfold", f"""WITH b AS ({BINARY_SQL}),
 r AS (SELECT quality, doc_id, row_number() OVER (PARTITION BY quality ORDER BY {_H.format(c='doc_id', s=SEED)}, doc_id) - 1 AS rk FROM b)
-SELECT quality, CAST(rk % {K} AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS n, CAST(sum(doc_id) AS BIGINT) AS id_sum
+SELECT quality, CAST(rk % {K} AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS n, CAST(sum(doc_id) AS VARCHAR) AS id_sum
 FROM r GROUP BY 1, 2""")
 def stratified_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class proportions kept in every fold."""
     b = folds.stratified_kfold(views.binary(spark, sf_dir), "quality", K, SEED, id_col="doc_id")
-    return b.groupBy("quality", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").cast("bigint").alias("id_sum"))
+    return b.groupBy("quality", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("doc_id").cast("decimal(20,0)")).cast("string").alias("id_sum"))
 
 
 @register("holdout", f"""WITH {_cte()}, tr AS (SELECT "index" FROM a WHERE NOT is_test),
 r AS (SELECT "index", row_number() OVER (ORDER BY {_H.format(c='"index"', s=SEED)}, "index") - 1 AS rk FROM tr)
 SELECT rk < greatest(1, CAST(floor(0.1 * (SELECT count(*) FROM tr)) AS BIGINT)) AS is_valid,
-       CAST(count(*) AS BIGINT) AS n, CAST(sum("index") AS BIGINT) AS id_sum FROM r GROUP BY 1""")
+       CAST(count(*) AS BIGINT) AS n, CAST(sum("index") AS VARCHAR) AS id_sum FROM r GROUP BY 1""")
 def holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exactly max(1, floor(0.1 n)) validation rows chosen by hash."""
     h = folds.holdout(views.train_part(views.assay(spark, sf_dir)).select(ID), 0.1, SEED)
-    return h.groupBy("is_valid").agg(F.count(F.lit(1)).alias("n"), F.sum(ID).cast("bigint").alias("id_sum"))
+    return h.groupBy("is_valid").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(ID).cast("decimal(20,0)")).cast("string").alias("id_sum"))
 
 
 @register("cluster_kfold")

@@ -13,7 +13,6 @@ from foldwise.sources import views
 from foldwise.sources.views import TARGETS
 
 PROFILE_COLS = FEATURES + TARGETS
-VARYING = tuple(c for c in PROFILE_COLS if c != "f_const")
 TRAIN = "tr AS (SELECT * FROM af WHERE NOT is_test)"
 
 
@@ -54,54 +53,56 @@ def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("skew", f"""WITH {_cte()}, {TRAIN}
-{_union("SELECT '{c}' AS feature, CAST(count({c}) AS BIGINT) AS n, " + sql_sig('skewness({c})', 7) + " AS skew FROM tr", VARYING)}""")
+{_union("SELECT '{c}' AS feature, CAST(count({c}) AS BIGINT) AS n, " + sql_sig('skewness({c})', 7) + " AS skew FROM tr", PROFILE_COLS)}""")
 def skew(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bias-adjusted skewness (pandas / DuckDB definition)."""
-    s = profile.skewness(_train(spark, sf_dir), VARYING)
+    s = profile.skewness(_train(spark, sf_dir), PROFILE_COLS)
     return s.select("feature", F.col("n").cast("bigint").alias("n"), sig(F.col("skew"), 7).alias("skew"))
 
 
+def _sql_corr(a: str, b: str) -> str:
+    """Correlation in SQL, NULL where a column is constant."""
+    return f"(CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN corr({a}, {b}) END)"
+
+
 def _pairs(cols):
     return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
 
 
 @register("corr_matrix", f"""WITH {_cte()}, {TRAIN}
-{chr(10).join(('UNION ALL ' if i else '') + f"SELECT '{a}' AS a, '{b}' AS b, {sql_sig(f'corr({a}, {b})', 7)} AS corr FROM tr" for i, (a, b) in enumerate(_pairs(VARYING)))}""")
+{chr(10).join(('UNION ALL ' if i else '') + f"SELECT '{a}' AS a, '{b}' AS b, {sql_sig(_sql_corr(a, b), 7)} AS corr FROM tr" for i, (a, b) in enumerate(_pairs(PROFILE_COLS)))}""")
 def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairwise-complete Pearson correlation of every pair of columns."""
-    c = profile.correlations(_train(spark, sf_dir), list(VARYING))
+    c = profile.correlations(_train(spark, sf_dir), list(PROFILE_COLS))
     return c.select("a", "b", sig(F.col("corr"), 7).alias("corr"))
 
 
-_FEATS_NC = tuple(c for c in FEATURES if c != "f_const")
-
-
 @register("corr_topk", f"""WITH {_cte()}, {TRAIN},
-med AS (SELECT {', '.join(f'median({c}) AS m_{c}' for c in _FEATS_NC)} FROM tr),
-imp AS (SELECT {', '.join(f'coalesce(tr.{c}, med.m_{c}) AS {c}' for c in _FEATS_NC)}, {', '.join(TARGETS)} FROM tr, med),
-c AS ({chr(10).join(('UNION ALL ' if i else '') + f"SELECT '{t}' AS target, '{f}' AS feature, abs(corr({f}, {t})) AS abs_corr FROM imp" for i, (t, f) in enumerate([(t, f) for t in TARGETS for f in _FEATS_NC]))}),
+med AS (SELECT {', '.join(f'median({c}) AS m_{c}' for c in FEATURES)} FROM tr),
+imp AS (SELECT {', '.join(f'coalesce(tr.{c}, med.m_{c}) AS {c}' for c in FEATURES)}, {', '.join(TARGETS)} FROM tr, med),
+c AS ({chr(10).join(('UNION ALL ' if i else '') + f"SELECT '{t}' AS target, '{f}' AS feature, abs({_sql_corr(f, t)}) AS abs_corr FROM imp" for i, (t, f) in enumerate([(t, f) for t in TARGETS for f in FEATURES]))}),
 r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY abs_corr DESC, feature) AS rank FROM c)
 SELECT target, feature, CAST(rank AS INTEGER) AS rank, {sql_sig('abs_corr', 7)} AS abs_corr FROM r WHERE rank <= 10""")
 def corr_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A15 + W2: top-10 |corr| with each target after median imputation."""
     tr = _train(spark, sf_dir)
-    med = prep.fit(tr, features=_FEATS_NC, missing_threshold=1.0)
+    med = prep.fit(tr, features=FEATURES, missing_threshold=1.0)
     meds = {c: s.median for c, s in {**med.stats, **med.screened}.items()}
-    imp = tr.select(*[F.coalesce(F.col(c), F.lit(meds[c])).alias(c) for c in _FEATS_NC], *TARGETS)
-    c = profile.correlation_pairs(imp, list(TARGETS), list(_FEATS_NC)).select(
+    imp = tr.select(*[F.coalesce(F.col(c), F.lit(meds[c])).alias(c) for c in FEATURES], *TARGETS)
+    c = profile.correlation_pairs(imp, list(TARGETS), list(FEATURES)).select(
         F.col("a").alias("target"), F.col("b").alias("feature"), F.abs("corr").alias("abs_corr"))
     top = profile.top_k_per(c, "target", "abs_corr", 10, "feature")
     return top.select("target", "feature", F.col("rank").cast("int").alias("rank"), sig(F.col("abs_corr"), 7).alias("abs_corr"))
 
 
 @register("mean_shift_topk", f"""WITH {_cte()},
-s AS ({_union("SELECT '{c}' AS feature, abs(avg(CASE WHEN is_test THEN {c} END) - avg(CASE WHEN NOT is_test THEN {c} END)) / stddev_samp(CASE WHEN NOT is_test THEN {c} END) AS shift FROM af", _FEATS_NC)}),
+s AS ({_union("SELECT '{c}' AS feature, abs(avg(CASE WHEN is_test THEN {c} END) - avg(CASE WHEN NOT is_test THEN {c} END)) / nullif(stddev_samp(CASE WHEN NOT is_test THEN {c} END), 0) AS shift FROM af", FEATURES)}),
 r AS (SELECT *, row_number() OVER (ORDER BY shift DESC, feature) AS rank FROM s)
 SELECT feature, CAST(rank AS INTEGER) AS rank, {sql_sig('shift', 6)} AS shift FROM r WHERE rank <= 15""")
 def mean_shift_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """train/test mean shift in train-std units, 15 largest."""
     af = assay_features(spark, sf_dir)
-    s = profile.mean_shift(views.train_part(af), views.test_part(af), list(_FEATS_NC)).withColumn("part", F.lit(0))
+    s = profile.mean_shift(views.train_part(af), views.test_part(af), list(FEATURES)).withColumn("part", F.lit(0))
     top = profile.top_k_per(s, "part", "shift", 15, "feature")
     return top.select("feature", F.col("rank").cast("int").alias("rank"), sig(F.col("shift"), 6).alias("shift"))
 

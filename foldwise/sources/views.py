@@ -73,7 +73,7 @@ def assay(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key % 4 == 0).alias("is_test"),
         F.col("o_totalprice").alias("t1"),
         F.col("tot").alias("t2"),
-        (F.col("tot") / F.col("o_totalprice")).alias("t3"),
+        F.try_divide("tot", "o_totalprice").alias("t3"),
     )
 
 
@@ -84,7 +84,7 @@ SELECT o.o_orderkey AS "index", l.n_lines, l.sum_qty, l.avg_price, l.avg_disc, l
        CASE WHEN o.o_orderkey % 5 < 2 THEN NULL
             ELSE CAST(o.o_orderkey % 11 AS DOUBLE) END AS f_sparse,
        o.o_orderkey % 4 = 0 AS is_test,
-       o.o_totalprice AS t1, k.tot AS t2, k.tot / o.o_totalprice AS t3
+       o.o_totalprice AS t1, k.tot AS t2, k.tot / nullif(o.o_totalprice, 0) AS t3
 FROM orders o
 LEFT JOIN (SELECT l_orderkey, CAST(count(*) AS DOUBLE) n_lines, sum(l_quantity) sum_qty,
                   avg(l_extendedprice) avg_price, avg(l_discount) avg_disc, max(l_tax) max_tax
@@ -115,10 +115,14 @@ DUPES_FEATURES = ("l_quantity", "l_discount", "l_tax")
 
 
 def wide(spark: SparkSession, sf_dir: str, dims: int | None = None) -> DataFrame:
-    """V3: embeddings as wide numeric columns e0..e{d-1} (+ id, label)."""
+    """V3: embeddings as wide numeric columns e0..e{d-1} (+ id, label); vectors of another
+    length than ``dims`` (or of several lengths) raise."""
     emb = table(spark, sf_dir, "embeddings")
-    if dims is None:
-        dims = len(emb.select("embedding").first()[0])
+    size = emb.agg(F.min(F.size("embedding")).alias("lo"), F.max(F.size("embedding")).alias("hi")).first()
+    found = {n for n in size if n is not None and n >= 0}
+    if len(found | ({dims} if dims is not None else set())) > 1:
+        raise ValueError(f"embeddings have {sorted(found)} components, {dims or 'one length'} expected")
+    dims = dims or next(iter(found), 0)
     return emb.select(
         F.col("vec_id").alias(ID),
         F.col("label").cast("double").alias("label"),

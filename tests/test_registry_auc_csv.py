@@ -48,7 +48,17 @@ def test_gram_correlation_equals_pairwise(spark):
                                ", ".join(f"c{j} double" for j in range(p)))
     cols = [f"c{j}" for j in range(p)]
     a = {(r.a, r.b): r.corr for r in profile.correlation_pairs(df, cols).collect()}
-    b = {(r.a, r.b): r.corr for r in profile.correlation_gram(df, cols).collect()}
+    b = {(r.a, r.b): r.corr for r in profile.correlations(df, cols).collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert b[k] == pytest.approx(a[k], abs=1e-10)
+
+
+def test_constant_columns_have_no_correlation_and_no_shift(spark):
+    from foldwise.operators import profile
+
+    df = spark.createDataFrame([(float(i), 0.1, None if i % 3 else 0.1) for i in range(50)], "x double, c double, s double")
+    for got in (profile.correlation_pairs(df, ["x", "c", "s"]), profile.correlations(df, ["x", "c", "s"])):
+        assert [r.corr for r in got.collect()] == [None] * 3
+    shift = {r.feature: r["shift"] for r in profile.mean_shift(df, df.withColumn("x", df.x + 1), ["x", "c"]).collect()}
+    assert shift["c"] is None and shift["x"] == pytest.approx(1 / np.std(np.arange(50), ddof=1))
