@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.llm.common import byte_chunks
+from foldwise.llm.common import bound_batches, byte_chunks
 
 LONG_BYTES = 512
 #: distinct pieces that a Python worker remembers
@@ -262,7 +262,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[Column], t
     NULL and empty texts have no token; repeated rows are rows of their own;
     columns outside ``keep`` are not read; an empty table gives an empty result.
     The rank file must lie at ``ranks_path`` on every executor."""
-    rows = docs.select(F.struct(*keep).alias("rec"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    rows = bound_batches(docs).select(F.struct(*keep).alias("rec"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     schema = T.StructType([rows.schema["rec"], T.StructField("ids", T.BinaryType())])
     if decoded:
         schema.add("decoded", T.BinaryType())

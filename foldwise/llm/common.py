@@ -50,6 +50,23 @@ def sql_text(value: str) -> str:
 CHUNK_BYTES = 1 << 19
 
 
+#: bytes of an Arrow batch that is sent to Python, where the session leaves Spark's default
+BATCH_BYTES = 4 << 20
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """Bound the Arrow batches of the session's Python stages; ``df`` itself comes back.
+
+    Spark's default (64 MB or 10,000 rows) is held once by the JVM and once by
+    the worker for each running task, and documents fill it.  A value that the
+    session has set is left alone.  The size of a batch never changes a result."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_CONF, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    return df
+
+
 def byte_chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[slice]:
     """Consecutive slices of a binary array of at most ``most`` bytes (or one value)."""
     start = size = 0

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.llm.common import byte_chunks
+from foldwise.llm.common import bound_batches, byte_chunks
 
 DIMENSIONS = 1024
 N = 3
@@ -109,7 +109,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", n: int =
 
     A partition sends one partial bundle per language; the sums are taken by
     (language, dimension).  What reaches the driver is languages x dimensions."""
-    rows = labelled.where(F.col(f"`{lang}`").isNotNull()).select(
+    rows = bound_batches(labelled).where(F.col(f"`{lang}`").isNotNull()).select(
         F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +138,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[Colum
     NULL texts and texts without a letter get ``und`` and 0; so does every text
     if nothing was learned.  Equal cosines go to the smaller language name.  A
     kept column named like the text must be the text: it is sent to Python once."""
-    rows = docs.select(F.struct(*keep).alias("rec"), F.col(f"`{text}`").alias("text"))
+    rows = bound_batches(docs).select(F.struct(*keep).alias("rec"), F.col(f"`{text}`").alias("text"))
     kept_text = text in rows.schema["rec"].dataType.names
     if kept_text:
         rows = rows.select("rec")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import byte_chunks, checkpoint
+from foldwise.llm.common import bound_batches, byte_chunks, checkpoint
 from foldwise.llm.graph import connected_components, in_blocks, map_groups
 
 N = 5
@@ -137,7 +137,7 @@ def signatures(grams: np.ndarray, counts: np.ndarray, bands: int, rows: int) ->
 
 def sign_documents(docs: DataFrame, bands: int, rows: int, n: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, digest, n_grams, bands) of every row; texts of equal words have equal digests (128 bits)."""
-    raw = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"))
+    raw = bound_batches(docs).select(F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"))):

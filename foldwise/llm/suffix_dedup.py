@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.llm.common import byte_chunks
+from foldwise.llm.common import bound_batches, byte_chunks
 from foldwise.llm.jaccard_join import _BASE, _INVERSE, _mix, _powers
 
 WIDTH = 50
@@ -415,7 +415,7 @@ def suffix_dedup(docs: DataFrame, keep: list[Column], key: str = "doc_id", text:
     empty result."""
     if not 8 <= kgram <= width:
         raise ValueError("a k-gram has 8 bytes or more and fits in a window")
-    raw = docs.select(F.struct(*keep).alias("rec"), F.col(f"`{key}`").cast("long").alias("id"),
+    raw = bound_batches(docs).select(F.struct(*keep).alias("rec"), F.col(f"`{key}`").cast("long").alias("id"),
                       F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("data"))
     total = raw.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))

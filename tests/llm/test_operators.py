@@ -45,6 +45,25 @@ def nothing(spark):
     return documents(spark, [(0, "", None, None)]).where("doc_id < 0")
 
 
+# ---------------------------------------------------------------- batches
+@pytest.mark.parametrize("name", ["op1_license_scan", "op3_shuffle_shards", "op4_language_id", "op5_jaccard_join", "op8_bpe_tokens", "op9_suffix_dedup"])
+def test_batch_size_changes_nothing(spark, name):
+    """Results do not depend on how rows are cut into Arrow batches; a value set by the session is left alone."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def rows():
+        return sorted(map(tuple, queries.queries()[name](spark, SF).collect()), key=str)
+
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        plain = rows()
+        spark.conf.set(key, "9999")
+        assert rows() == plain and spark.conf.get(key) in ("9999", "9999b")
+    finally:
+        spark.conf.set(key, before)
+
+
 # ---------------------------------------------------------------- SQL twins
 @pytest.mark.parametrize("name", ["op1_license_scan", "op6_chat_format", "op7_cap_filters", "op10_mix_sources"])
 def test_sql_twin(spark, name):
