@@ -4,8 +4,8 @@ A document's histogram of character classes and its histogram of common words
 are compared with those of every reference language by the Jensen-Shannon
 distance (square root of the divergence, logarithm to base 2).  The references
 are sums over all documents with a language, so they follow the corpus.  A
-document passes if some language's distance is small enough; each histogram is
-judged only if the document is long enough for it to mean something.
+document passes if some language's distance is small enough; the limits of the
+word histogram widen with the sampling noise of short documents.
 
 Everything about one text is computed inside its row by array functions: no
 word is shuffled.  One pass over the texts writes the per-document counts (a few
@@ -33,9 +33,12 @@ CLASSES = {
     "symbol": r"[#*$%&|<>@^~=+/\\_{}\[\]]",
 }
 MIN_CHARS = 200
-MIN_WORDS = 120
 #: base rule of the query: fewer words than this fail
 BASE_MIN_WORDS = 50
+#: from so many words on the word limits are constant; below they widen by NOISE * (1/sqrt(n_words) - 1/sqrt(STEADY_WORDS))
+STEADY_WORDS = 120
+WORD_NOISE = 0.7
+SUM_NOISE = 3.0
 MAX_CHAR_DISTANCE = 0.26
 MAX_WORD_DISTANCE = 0.29
 MAX_SUM = 0.42
@@ -151,12 +154,13 @@ def word_distance(common: Column, n_words: Column, reference: dict[str, float])
 
 
 def judge(stats: DataFrame, refs: list, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE,
-          max_sum: float = MAX_SUM, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
+          max_sum: float = MAX_SUM, min_chars: int = MIN_CHARS, min_words: int = BASE_MIN_WORDS) -> DataFrame:
     """``stats`` with char_distance, word_distance (smallest over the languages; NULL without references) and divergent.
 
     The class histogram is judged from ``min_chars`` code points on, the word
-    histogram and the sum of both distances from ``min_words`` words on: below,
-    sampling noise of short texts exceeds the limits."""
+    histogram and the sum of both distances from ``min_words`` words on.  The
+    distance of n words from their own language falls as 1/sqrt(n), so below
+    STEADY_WORDS words their limits widen at that rate."""
     n_chars = F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x)
     least = lambda cols: cols[0] if len(cols) == 1 else F.least(*cols) if cols else F.lit(None).cast("double")
     out = stats.withColumns({
@@ -164,8 +168,10 @@ def judge(stats: DataFrame, refs: list, max_char: float = MAX_CHAR_DISTANCE, max
         "word_distance": least([word_distance(F.col("common"), F.col("n_words"), r["words"] or {}) for r in refs]),
     })
     odd_chars = (n_chars >= min_chars) & (F.col("char_distance") > max_char)
+    noise = F.greatest(1 / F.sqrt(F.greatest(F.col("n_words"), F.lit(1))) - F.lit(STEADY_WORDS ** -0.5), F.lit(0.0))
     odd_words = (F.col("n_words") >= min_words) & (
-        (F.col("word_distance") > max_word) | (F.col("char_distance") + F.col("word_distance") > max_sum))
+        (F.col("word_distance") > max_word + WORD_NOISE * noise)
+        | (F.col("char_distance") + F.col("word_distance") > max_sum + SUM_NOISE * noise))
     return out.withColumn("divergent", F.coalesce(odd_chars, F.lit(False)) | F.coalesce(odd_words, F.lit(False)))
 
 

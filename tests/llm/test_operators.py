@@ -128,6 +128,18 @@ def test_quality_counts_and_distances(spark, docs, nothing):
     assert d == pytest.approx(np.sqrt((kl(p) + kl(q)) / 2))
 
 
+def test_quality_judges_short_texts(spark):
+    """Between the base rule's 50 words and 120, word lists diverge and labelled-good prose does not."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["doc_id"])
+    good = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1").select("doc_id").distinct()
+    out = quality_divergence.quality(docs).where("n_words between 50 and 119").join(
+        docs.select(F.col("doc_id").alias("key"), (F.regexp_count("text", F.lit(r"\|")) > 10).alias("is_list")), "key")
+    lists = [r.divergent for r in out.where("is_list").collect()]
+    prose = [r.divergent for r in out.where("not is_list").join(good, F.col("key") == F.col("doc_id")).collect()]
+    assert len(lists) >= 5 and 2 * sum(lists) >= len(lists), lists
+    assert len(prose) >= 30 and 20 * sum(prose) <= len(prose), sum(prose)
+
+
 # ---------------------------------------------------------------- 3
 def test_shuffled_shards(spark, docs, nothing, tmp_path):
     out = shuffle_shards.shuffle_to_shards(docs, 4, path=str(tmp_path / "a"), bucket_bytes=2000)
