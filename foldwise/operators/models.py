@@ -72,8 +72,9 @@ def tree_spec(name: str, scale: str = "small") -> TreeSpec:
 
 
 def replace_params(spec: TreeSpec, overlay: dict) -> TreeSpec:
-    """Same candidate, overridden parameters."""
-    return replace(spec, params={**spec.params, **overlay})
+    """Same candidate, overridden parameters (of its final fit too)."""
+    final = {**spec.final_params, **overlay} if spec.final_params else spec.final_params
+    return replace(spec, params={**spec.params, **overlay}, final_params=final)
 
 
 def build_estimator(spec: TreeSpec, seed: int, features_col: str, label_col: str, final: bool = False):

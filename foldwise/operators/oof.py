@@ -41,6 +41,7 @@ class OOFConfig:
     inner_folds: int = 5
     candidates: tuple[str, ...] = models.CANDIDATES
     scale: str = "small"
+    tree_params: dict = field(default_factory=dict)   # candidate -> parameters over its preset (C22)
     max_parallel_fits: int = 4
     early_stop: str = "valid"               # "valid" (reference) | "inner" (hold-out inside train)
 
@@ -301,7 +302,7 @@ def tree_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str
 
     def run(job):
         f, name, use_log, mname, tr, va, seed = job
-        spec = models.tree_spec(mname, cfg.scale)
+        spec = models.replace_params(models.tree_spec(mname, cfg.scale), cfg.tree_params.get(mname, {}))
         if spec.early_stop and cfg.early_stop == "inner":
             # stop on a hash hold-out of the training rows, never on the scored fold
             inner = stable_hash(ID, cfg.seed + 11) % 10 == 0

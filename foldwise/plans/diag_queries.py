@@ -221,10 +221,10 @@ def diagnostics_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     import json
 
     from foldwise.plans.diagnostics import run_diagnostics
-    from foldwise.plans.program_queries import assay_config
+    from foldwise.plans.program_queries import whole_config
 
     a = views.assay(spark, sf_dir)
-    doc = run_diagnostics(spark, views.train_part(a), views.test_part(a).drop(*TARGETS), assay_config(cv_strategy="hash"))
+    doc = run_diagnostics(spark, views.train_part(a), views.test_part(a).drop(*TARGETS), whole_config(cv_strategy="hash"))
     rows = []
     for section, body in doc.items():
         if isinstance(body, dict):
