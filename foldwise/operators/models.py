@@ -33,7 +33,7 @@ def _presets(scale: str) -> dict[str, TreeSpec]:
     """Tree presets.  Fixed values: with scale="reference" the round counts,
     learning rates, depths / leaf sizes, sampling fractions and patience are
     the reference's hyper-parameters; scale="small" only lowers round / tree
-    counts for tests and benchmarks."""
+    counts for tests."""
     big = scale == "reference"
     r = (lambda a, b: a if big else b)
     return {
@@ -60,14 +60,14 @@ def _presets(scale: str) -> dict[str, TreeSpec]:
     }
 
 
-def registry(scale: str = "small", include: tuple[str, ...] = CANDIDATES) -> list[str]:
+def registry(scale: str = "reference", include: tuple[str, ...] = CANDIDATES) -> list[str]:
     """Ordered, unique candidate names (``include`` filters, order kept)."""
     names = [n for n in CANDIDATES if n in include]
     assert len(set(names)) == len(names)
     return names
 
 
-def tree_spec(name: str, scale: str = "small") -> TreeSpec:
+def tree_spec(name: str, scale: str = "reference") -> TreeSpec:
     return _presets(scale)[name]
 
 

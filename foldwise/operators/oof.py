@@ -40,7 +40,7 @@ class OOFConfig:
     inverse: str = "floored"                # floored | plain | bounded
     inner_folds: int = 5
     candidates: tuple[str, ...] = models.CANDIDATES
-    scale: str = "small"
+    scale: str = "reference"
     tree_params: dict = field(default_factory=dict)   # candidate -> parameters over its preset (C22)
     max_parallel_fits: int = 4
     early_stop: str = "valid"               # "valid" (reference) | "inner" (hold-out inside train)

@@ -35,7 +35,7 @@ def auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _adversarial(spark, sf_dir):
     af = assay_features(spark, sf_dir)
-    return diagnose.adversarial_validation(views.train_part(af), views.test_part(af), list(FEATURES), forest_trees=50)
+    return diagnose.adversarial_validation(views.train_part(af), views.test_part(af), list(FEATURES))
 
 
 @register("adversarial_auc")

@@ -163,10 +163,10 @@ def oof_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("oof_trees")
 def oof_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OOF predictions of the tree candidates (pyspark.ml, small preset)."""
+    """OOF predictions of the six tree candidates (pyspark.ml, reference presets)."""
     tr = fold_frame(spark, sf_dir)
     full, per = fitted_prep(tr)
-    cfg = oof.OOFConfig(k=K, seed=SEED, candidates=("random_forest", "grad_boosting_sklearn"))
+    cfg = oof.OOFConfig(k=K, seed=SEED, candidates=tuple(m for m in models.CANDIDATES if m not in models.LINEAR))
     t = oof.tree_oof(tr, FEATURES, TARGET_SPECS, full, per, cfg, list(cfg.candidates))
     return _rmse_table(t)
 

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from foldwise.operators import diagnose, models, search
+from foldwise.operators import diagnose, models, oof, search
 from foldwise.plans import registry
 from foldwise.plans import train as T
 from foldwise.plans.program_queries import assay_config
@@ -16,6 +16,34 @@ TINY = {n: {"numTrees": 2, "maxDepth": 2} if models.tree_spec(n).kind == "rf" el
         for n in models.CANDIDATES if n not in models.LINEAR}
 
 
+def test_reference_presets_are_the_default(spark, sf_dir, monkeypatch):
+    assert assay_config().scale == oof.OOFConfig().scale == "reference"
+    assert models.tree_spec("lgb").params["maxIter"] == 2000 and models.tree_spec("random_forest").params["numTrees"] == 400
+    seen = []
+
+    def tree_oof(df, features, targets, full, per_fold, cfg, names):
+        seen.append((cfg.scale, list(names)))
+        raise Stop
+
+    monkeypatch.setattr(oof, "tree_oof", tree_oof)
+    with pytest.raises(Stop):
+        registry.queries()["oof_trees"](spark, sf_dir)
+    assert seen == [("reference", [m for m in models.CANDIDATES if m not in models.LINEAR])]
+
+
+def test_adversarial_forest_has_all_trees(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def validate(train, test, features, **kw):
+        seen.append(kw.get("forest_trees", 200))
+        raise Stop
+
+    monkeypatch.setattr(diagnose, "adversarial_validation", validate)
+    with pytest.raises(Stop):
+        registry.queries()["adversarial_auc"](spark, sf_dir)
+    assert seen == [200]
+
+
 class Stop(Exception):
     pass
 
