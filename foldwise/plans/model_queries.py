@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import concurrent.futures as cf
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -86,10 +85,8 @@ def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- linear fits
-@lru_cache(maxsize=4)
-def _linear(sf_dir: str, spark_id: int):
-    spark = SparkSession.getActiveSession()
-    tr = fold_frame(spark, sf_dir)
+def _linear(tr: DataFrame):
+    """Linear fits of every fold and of all rows of the fold frame ``tr``."""
     full, per = fitted_prep(tr)
     cfg = oof.OOFConfig(k=K, seed=SEED, candidates=models.LINEAR)
     fits, centre = oof.fit_linear(tr, FEATURES, TARGET_SPECS, full, per, cfg)
@@ -107,34 +104,35 @@ def _fits_frame(spark, fits, model, keys):
 @register("ridge_loo")
 def ridge_loo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ridge with exact leave-one-out alpha over logspace(-4, 4, 25), per fold and final."""
-    fits, _ = _linear(sf_dir, id(spark))
+    fits, _ = _linear(fold_frame(spark, sf_dir))
     return _fits_frame(spark, fits, "ridge", ["alpha"])
 
 
 @register("bayes_ridge")
 def bayes_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bayesian ridge (evidence maximisation) per fold and final."""
-    fits, _ = _linear(sf_dir, id(spark))
+    fits, _ = _linear(fold_frame(spark, sf_dir))
     return _fits_frame(spark, fits, "bayesian_ridge", ["alpha", "lambda"])
 
 
 @register("elastic_net_cv")
 def elastic_net_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elastic net with (alpha, l1_ratio) chosen by inner 5-fold CV on the Gram cells."""
-    fits, _ = _linear(sf_dir, id(spark))
+    fits, _ = _linear(fold_frame(spark, sf_dir))
     return _fits_frame(spark, fits, "elastic_net", ["alpha", "l1_ratio"])
 
 
-@lru_cache(maxsize=4)
-def _linear_oof(sf_dir: str, spark_id: int):
-    spark = SparkSession.getActiveSession()
-    tr = fold_frame(spark, sf_dir)
-    fits, centre = _linear(sf_dir, spark_id)
+def _linear_oof(tr: DataFrame, fits, centre) -> DataFrame:
     lin = oof.apply_linear(tr, [f for f in fits if f.scope != ALL], FEATURES, centre, TARGET_SPECS, "floored", "fold")
     # the OOF table is the materialisation point: cut the lineage into the shared checkpoint folder
     return cut_lineage(lin, spread=True)
 
 
+def _fitted_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tr = fold_frame(spark, sf_dir)
+    return _linear_oof(tr, *_linear(tr))
+
+
 def _rmse_table(o: DataFrame) -> DataFrame:
     r = metrics.rmse_by(o, ["target", "model"])
     return r.select("target", "model", F.col("n").cast("bigint").alias("n"), sig(F.col("rmse"), 8).alias("rmse"))
@@ -143,13 +141,13 @@ def _rmse_table(o: DataFrame) -> DataFrame:
 @register("oof_linear")
 def oof_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OOF predictions of the linear family (floored inverse), RMSE per target/model."""
-    return _rmse_table(_linear_oof(sf_dir, id(spark)))
+    return _rmse_table(_fitted_oof(spark, sf_dir))
 
 
 @register("oof_leaderboard")
 def oof_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C25 + T3 + C26: per model, RMSE per target, the mean score, rank, divergence flag."""
-    r = metrics.rmse_by(_linear_oof(sf_dir, id(spark)), ["target", "model"])
+    r = metrics.rmse_by(_fitted_oof(spark, sf_dir), ["target", "model"])
     per_model = r.groupBy("model").agg(
         F.avg("rmse").alias("oof_score"),
         *[F.max(F.when(F.col("target") == t, F.col("rmse"))).alias(f"rmse_{t}") for t in TARGETS])
@@ -180,7 +178,7 @@ def _metas(lin: DataFrame, names: list[str]) -> list:
 @register("meta_oof")
 def meta_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C13 + M20: nested meta-ridge OOF per target next to the in-sample meta score."""
-    lin = _linear_oof(sf_dir, id(spark))
+    lin = _fitted_oof(spark, sf_dir)
     names = list(models.LINEAR)
     out = []
     for t, m in zip(TARGETS, _metas(lin, names)):
@@ -198,8 +196,9 @@ def stacked_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C14 + C15 + P15: final linear models on all train rows, meta per target,
     predictions for the test rows, floors; summary per target."""
     af = assay_features(spark, sf_dir)
-    fits, centre = _linear(sf_dir, id(spark))
-    lin = _linear_oof(sf_dir, id(spark))
+    tr = fold_frame(spark, sf_dir)
+    fits, centre = _linear(tr)
+    lin = _linear_oof(tr, fits, centre)
     names = list(models.LINEAR)
     metas = dict(zip(TARGETS, _metas(lin, names)))
     test = views.test_part(af)
@@ -239,7 +238,7 @@ def ratio_blend_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("blend_search")
 def blend_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirichlet weight search from per-target error Gram matrices."""
-    lin = _linear_oof(sf_dir, id(spark))
+    lin = _fitted_oof(spark, sf_dir)
     names = list(models.LINEAR)
     moms = blend.error_moments(lin, TARGETS, names)
     w, score, parts = blend.blend_search(moms, TARGETS, 100, SEED)

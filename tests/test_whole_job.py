@@ -80,6 +80,19 @@ def test_variant_five_takes_the_best_trial(spark, sf_dir, monkeypatch):
     assert [c.tree_params for c in seen] == [{}, {}, {}, {"lgb": search.to_mllib(best)}]
 
 
+def test_queries_follow_their_tables(spark, sf_dir, tmp_path):
+    """A second call reads the tables again: no fits held from the first."""
+    for t in ("orders", "lineitem", "customer"):
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    query = registry.queries()["oof_linear"]
+    before = {r.n for r in query(spark, str(tmp_path)).collect()}
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders.where("o_orderkey % 3 > 0").write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+    spark.catalog.refreshByPath(str(tmp_path))
+    after = {r.n for r in query(spark, str(tmp_path)).collect()}
+    assert len(before) == len(after) == 1 and after.pop() < before.pop()
+
+
 def test_nine_candidates_meet_blend_and_bundle(spark, sf_dir, tmp_path):
     a = views.assay(spark, sf_dir)
     cfg = assay_config(mode="baseline", cv_strategy="hash", n_folds=2, candidates=models.CANDIDATES, tree_params=TINY)
