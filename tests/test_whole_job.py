@@ -3,6 +3,7 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from foldwise.operators import diagnose, models, oof, search
 from foldwise.plans import registry
@@ -80,6 +81,18 @@ def test_variant_five_takes_the_best_trial(spark, sf_dir, monkeypatch):
     assert [c.tree_params for c in seen] == [{}, {}, {}, {"lgb": search.to_mllib(best)}]
 
 
+def test_search_runs_all_trials_and_rounds(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def tree_oof_spec(df, features, targets, per_fold, cfg, spec):
+        seen.append(spec.params["maxIter"])
+        return df.select(F.lit("t1").alias("target"), F.lit("lgb").alias("model"), F.lit(1.0).alias("y"), F.lit(0.0).alias("pred"))
+
+    monkeypatch.setattr(oof, "tree_oof_spec", tree_oof_spec)
+    assert registry.queries()["random_search"](spark, sf_dir).count() == 14
+    assert seen == [2000] * 14
+
+
 def test_queries_follow_their_tables(spark, sf_dir, tmp_path):
     """A second call reads the tables again: no fits held from the first."""
     for t in ("orders", "lineitem", "customer"):
