@@ -9,8 +9,12 @@ semantics ("best iteration, patience r").
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field, replace
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 # ---- fixed values: candidate names in registry order ----------------------
 CANDIDATES = ("lgb", "xgb", "ridge", "elastic_net", "hist_gbrt", "random_forest",
               "extra_trees", "grad_boosting_sklearn", "bayesian_ridge")
@@ -22,7 +26,7 @@ ENET_L1_RATIOS = (0.1, 0.5, 0.9, 0.99)
 @dataclass(frozen=True)
 class TreeSpec:
     name: str
-    kind: str                      # gbt | rf
+    kind: str                      # gbt | rf | et
     params: dict = field(default_factory=dict)
     final_params: dict | None = None
     early_stop: int | None = None  # patience in rounds, on the validation rows
@@ -49,9 +53,8 @@ def _presets(scale: str) -> dict[str, TreeSpec]:
         "random_forest": TreeSpec("random_forest", "rf", dict(numTrees=r(400, 30), maxDepth=r(30, 12), minInstancesPerNode=2,
                                                               featureSubsetStrategy="all"),
                                   description="bagged trees"),
-        "extra_trees": TreeSpec("extra_trees", "rf", dict(numTrees=r(500, 30), maxDepth=r(30, 12), minInstancesPerNode=2,
-                                                          featureSubsetStrategy="all", bootstrap=False, maxBins=8),
-                                description="unbagged trees on coarse random-like bins"),
+        "extra_trees": TreeSpec("extra_trees", "et", dict(numTrees=r(500, 30), maxDepth=r(30, 12), minInstancesPerNode=2),
+                                description="unbagged trees on random cuts"),
         "grad_boosting_sklearn": TreeSpec("grad_boosting_sklearn", "gbt", dict(maxIter=r(180, 30), stepSize=0.06, maxDepth=4,
                                                                                minInstancesPerNode=5, subsamplingRate=0.9),
                                           final_params=dict(maxIter=r(250, 40), stepSize=0.05, maxDepth=4, minInstancesPerNode=4,
@@ -77,10 +80,85 @@ def replace_params(spec: TreeSpec, overlay: dict) -> TreeSpec:
     return replace(spec, params={**spec.params, **overlay}, final_params=final)
 
 
+#: random cuts drawn per feature and fit
+N_CUTS = 64
+
+
+class ExtraTreesRegressor:
+    """Each feature is cut at N_CUTS values drawn by a seeded hash of the
+    rows; every node of every unbagged tree chooses among as many (feature, cut)
+    pairs, drawn anew, as there are features."""
+
+    def __init__(self, features_col: str, label_col: str, seed: int, **params):
+        self.features_col, self.label_col, self.seed, self.params = features_col, label_col, seed, params
+
+    def fit(self, df: DataFrame) -> ExtraTreesModel:
+        from pyspark.ml.functions import vector_to_array
+        from pyspark.ml.regression import RandomForestRegressor
+
+        values = df.select(vector_to_array(self.features_col).alias("v"))
+        cuts = [list(r.v) for r in values.orderBy(F.xxhash64("v", F.lit(self.seed)), "v").limit(N_CUTS).collect()]
+        est = RandomForestRegressor(featuresCol=ExtraTreesModel.CUT_COL, labelCol=self.label_col, seed=self.seed, bootstrap=False,
+                                    featureSubsetStrategy=str(1 / max(2, len(cuts))), maxBins=2, **self.params)
+        return ExtraTreesModel(est.fit(df.withColumn(ExtraTreesModel.CUT_COL, _beyond_cuts(self.features_col, cuts))),
+                               cuts, self.features_col)
+
+
+def _beyond_cuts(features_col: str, cuts: list[list[float]]) -> Column:
+    """Vector of 0 / 1: is feature j beyond its k-th cut."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    table = F.from_json(F.lit(json.dumps(cuts)), "array<array<double>>")
+    x = vector_to_array(features_col)
+    return array_to_vector(F.flatten(F.transform(table, lambda c: F.zip_with(x, c, lambda v, t: (v > t).cast("double")))))
+
+
+class ExtraTreesModel:
+    """A forest over the cut features, used like an MLlib model."""
+
+    CUT_COL = "__cut_features"
+
+    def __init__(self, forest, cuts: list[list[float]], features_col: str):
+        self.forest, self.cuts, self.features_col = forest, cuts, features_col
+
+    @property
+    def predictionCol(self):
+        return self.forest.predictionCol
+
+    def copy(self, extra=None) -> ExtraTreesModel:
+        return ExtraTreesModel(self.forest.copy(extra), self.cuts, self.features_col)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.forest.transform(df.withColumn(self.CUT_COL, _beyond_cuts(self.features_col, self.cuts))).drop(self.CUT_COL)
+
+    def write(self) -> ExtraTreesModel:
+        return self
+
+    def overwrite(self) -> ExtraTreesModel:
+        return self
+
+    def save(self, path: str) -> None:
+        from pyspark.sql import SparkSession
+
+        self.forest.write().overwrite().save(f"{path}/forest")
+        doc = json.dumps({"cuts": self.cuts, "features_col": self.features_col})
+        SparkSession.getActiveSession().createDataFrame([(doc,)], "doc string").write.mode("overwrite").text(f"{path}/cuts")
+
+    @classmethod
+    def load(cls, path: str) -> ExtraTreesModel:
+        from pyspark.ml.regression import RandomForestRegressionModel
+        from pyspark.sql import SparkSession
+
+        doc = json.loads(SparkSession.getActiveSession().read.text(f"{path}/cuts").first()[0])
+        return cls(RandomForestRegressionModel.load(f"{path}/forest"), doc["cuts"], doc["features_col"])
+
+
 def build_estimator(spec: TreeSpec, seed: int, features_col: str, label_col: str, final: bool = False):
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
     params = dict(spec.final_params if (final and spec.final_params) else spec.params)
     if spec.kind == "gbt":
         return GBTRegressor(featuresCol=features_col, labelCol=label_col, seed=seed, **params)
+    if spec.kind == "et":
+        return ExtraTreesRegressor(features_col, label_col, seed, **params)
     return RandomForestRegressor(featuresCol=features_col, labelCol=label_col, seed=seed, **params)

@@ -13,7 +13,7 @@ from foldwise.sources import views
 from foldwise.sources.views import TARGETS
 
 #: tiny trees, so that all nine candidates fit in a test
-TINY = {n: {"numTrees": 2, "maxDepth": 2} if models.tree_spec(n).kind == "rf" else {"maxIter": 2, "maxDepth": 2}
+TINY = {n: {"numTrees": 2, "maxDepth": 2} if models.tree_spec(n).kind != "gbt" else {"maxIter": 2, "maxDepth": 2}
         for n in models.CANDIDATES if n not in models.LINEAR}
 
 
@@ -93,6 +93,20 @@ def test_search_runs_all_trials_and_rounds(spark, sf_dir, monkeypatch):
     assert seen == [2000] * 14
 
 
+def test_extra_trees_differ(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    df = spark.range(0, 400, numPartitions=3).select(
+        array_to_vector(F.array((F.col("id") % 37).cast("double"), (F.col("id") % 11).cast("double"), F.rand(3))).alias("__v"),
+        (F.col("id") % 37 + F.col("id") % 11).cast("double").alias("__y")).cache()
+    spec = models.replace_params(models.tree_spec("extra_trees"), {"numTrees": 8, "maxDepth": 6})
+    fit = models.build_estimator(spec, 7, "__v", "__y").fit(df)
+    trees = [t.toDebugString.split("\n", 1)[1] for t in fit.forest.trees]
+    assert len(trees) == 8 and len(set(trees)) == 8
+    mse, var = fit.transform(df).agg(F.avg((F.col("__y") - F.col("prediction")) ** 2), F.var_pop("__y")).first()
+    assert mse < 0.2 * var
+
+
 def test_queries_follow_their_tables(spark, sf_dir, tmp_path):
     """A second call reads the tables again: no fits held from the first."""
     for t in ("orders", "lineitem", "customer"):
