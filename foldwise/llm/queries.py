@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe_matrix, cap_filters, chat_parts, hd_langid, jaccard_join, license_scan, mixing, quality_divergence, shuffle_shards, suffix_dedup
+from foldwise.llm import (
+    angle_negatives, bpe_matrix, cap_filters, chat_parts, hd_langid, jaccard_join, license_scan, mixing, quality_divergence,
+    shuffle_shards, suffix_dedup, token_stream, whitening,
+)
 from foldwise.llm.common import n_words, no_null_text, sql_text, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -224,9 +227,52 @@ def _op10_sql() -> str:
            CAST(floor(u + (k + 1.0::DOUBLE) * rate) - floor(u + k * rate) AS BIGINT) * size AS taken FROM e"""
 
 
+# ---------------------------------------------------------------- 11
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor (ids divisible by 100) among all embeddings."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    out = angle_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+    return out.drop("positive_rank")
+
+
+_OP11_SQL = """
+    WITH v AS (
+        SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+               list_transform(embedding, lambda x: floor(256.0::DOUBLE * CAST(x AS DOUBLE))) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+           id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10"""
+
+
+# ---------------------------------------------------------------- 12
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of all embeddings, fitted on all of them."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+# ---------------------------------------------------------------- 13
+def op13_token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as Arrow streams of equal-length token sequences, read back from the files."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    written = token_stream.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_stream.read_tokens(spark, written).drop("ends")
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_license_scan, op2_quality_divergence, op3_shuffle_shards, op4_language_id, op5_jaccard_join,
-    op6_chat_format, op7_cap_filters, op8_bpe_tokens, op9_suffix_dedup, op10_mix_sources)}
+    op6_chat_format, op7_cap_filters, op8_bpe_tokens, op9_suffix_dedup, op10_mix_sources,
+    op11_hard_negatives, op12_whitening, op13_token_stream)}
 
 
 def queries() -> dict[str, QueryFn]:
@@ -234,4 +280,5 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _op1_sql(), "op6_chat_format": _op6_sql(), "op7_cap_filters": _OP7_SQL, "op10_mix_sources": _op10_sql()}
+    return {"op1_license_scan": _op1_sql(), "op6_chat_format": _op6_sql(), "op7_cap_filters": _OP7_SQL, "op10_mix_sources": _op10_sql(),
+            "op11_hard_negatives": _OP11_SQL}
