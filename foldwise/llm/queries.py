@@ -266,7 +266,7 @@ def op13_token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     written = token_stream.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return token_stream.read_tokens(spark, written).drop("ends")
+    return token_stream.read_tokens(spark, written).drop("masked")
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (

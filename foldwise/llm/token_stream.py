@@ -3,12 +3,13 @@
 Documents are range-partitioned and sorted by id; each partition encodes its
 texts in that order and writes its own pair of files in the Arrow stream format:
 
-* ``ids-*.arrows``: rows of ``ids`` (fixed-size list of uint32) and ``mask``
-  (fixed-size list of uint8: 1 for a token, 2 for a document's end id, 0 for
-  padding), the documents one after the other, cut into sequences of equal
-  length.  All batches but the last hold the same number of sequences, so they
-  have the same size in bytes: batch i starts at ``first + i * step``, and a
-  memory-mapped reader hands out its buffers without a copy.
+* ``ids-*.arrows``: rows of ``ids`` (fixed-size list of uint16, or uint32 where
+  the vocabulary needs it) and ``mask`` (fixed-size list of bool, one bit each:
+  whether the place holds a token, or padding), the documents one after the
+  other, cut into sequences of equal length.  All batches but the last hold the
+  same number of sequences, so they have the same size in bytes: batch i starts
+  at ``first + i * step``, and a memory-mapped reader hands out its buffers
+  without a copy.
 * ``docs-*.arrows``: (doc_id, n_tokens) of the documents, in order.
 
 A task names its files itself and reports them in its row of the manifest, so a
@@ -42,7 +43,6 @@ FILE_BYTES = 16 << 20
 END_ID = 0
 #: characters that the tokenizer gets at once: longer texts are cut where a new word begins
 PIECE_CHARS = 1 << 16
-TOKEN, END, PAD = 1, 2, 0
 
 _MANIFEST = "part int, ids_file string, docs_file string, docs long, tokens long"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
@@ -50,8 +50,9 @@ _INDEX = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-def sequence_schema(length: int = LENGTH) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def sequence_schema(length: int = LENGTH, vocabulary: int = 1 << 32) -> pa.Schema:
+    kind = pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
+    return pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 def _place(uri: str) -> tuple[pa.fs.FileSystem, str]:
@@ -61,6 +62,9 @@ def _place(uri: str) -> tuple[pa.fs.FileSystem, str]:
 # ------------------------------------------------------------- encoding
 @cache
 def _tokenizer(path: str):
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -104,21 +108,19 @@ def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
 class SequenceWriter:
     """Appends documents to a file of equal-length sequences; at most one batch is held."""
 
-    def __init__(self, sink, length: int = LENGTH, batch: int = BATCH):
-        self.length, self.schema = length, sequence_schema(length)
+    def __init__(self, sink, length: int = LENGTH, batch: int = BATCH, vocabulary: int = 1 << 32):
+        self.length, self.schema = length, sequence_schema(length, vocabulary)
         self.writer = pa.ipc.new_stream(sink, self.schema)
-        self.ids, self.mask = np.zeros(length * batch, np.uint32), np.zeros(length * batch, np.uint8)
+        self.ids = np.zeros(length * batch, self.schema.field("ids").type.value_type.to_pandas_dtype())
         self.used = self.tokens = 0
 
     def append(self, ids: np.ndarray, end_id: int = END_ID) -> int:
         """Write a document's ids and its end id; returns their number."""
-        ids = np.append(ids, np.uint32(end_id)).astype(np.uint32)
-        mask = np.full(len(ids), TOKEN, np.uint8)
-        mask[-1] = END
+        ids = np.append(ids, np.uint32(end_id))
         at = 0
         while at < len(ids):
             n = min(len(ids) - at, len(self.ids) - self.used)
-            self.ids[self.used: self.used + n], self.mask[self.used: self.used + n] = ids[at: at + n], mask[at: at + n]
+            self.ids[self.used: self.used + n] = ids[at: at + n]
             at, self.used = at + n, self.used + n
             if self.used == len(self.ids):
                 self._flush()
@@ -127,8 +129,9 @@ class SequenceWriter:
 
     def _flush(self) -> None:
         size = -(-self.used // self.length) * self.length  # the last sequence is padded
-        self.ids[self.used: size], self.mask[self.used: size] = 0, PAD
-        arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x[:size].copy()), self.length) for x in (self.ids, self.mask)]
+        self.ids[self.used: size] = 0
+        columns = self.ids[:size].copy(), np.arange(size) < self.used
+        arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in columns]
         self.writer.write_batch(pa.RecordBatch.from_arrays(arrays, schema=self.schema))
         self.used = 0
 
@@ -167,25 +170,25 @@ class SequenceReader:
             self.held = (i, self._read(self.first + i * self.step))
         return self.held[1]
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of sequence i, without a copy from a local file."""
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """(ids, mask) of sequence i, without a copy from a local file (the mask's bits are an Arrow array)."""
         b = self.batch(i // self.per_batch) if self.per_batch else None
         k = i % self.per_batch if self.per_batch else 0
         if b is None or k >= b.num_rows:
             raise IndexError(i)
-        span = slice(k * self.length, (k + 1) * self.length)
-        return tuple(b[c].flatten().to_numpy(zero_copy_only=True)[span] for c in ("ids", "mask"))
+        ids, mask = (b[c].flatten().slice(k * self.length, self.length) for c in ("ids", "mask"))
+        return ids.to_numpy(zero_copy_only=True), mask
 
-    def tokens(self, start: int, n: int, column: str = "ids") -> Iterator[np.ndarray]:
-        """Tokens start .. start + n of the file (or their masks), as views of its batches."""
+    def tokens(self, start: int, n: int) -> Iterator[tuple[np.ndarray, bool]]:
+        """Tokens start .. start + n of the file as views of its batches, each with whether the mask holds all of them."""
         size = self.per_batch * self.length
         while n > 0:
             b = self.batch(start // size) if size else None
             at = start % size if size else 0
             if b is None or at >= b.num_rows * self.length:
                 raise IndexError(start)
-            view = b[column].flatten().to_numpy(zero_copy_only=True)[at: at + n]
-            yield view
+            view = b["ids"].flatten().to_numpy(zero_copy_only=True)[at: at + n]
+            yield view, b["mask"].flatten().slice(at, len(view)).true_count == len(view)
             start, n = start + len(view), n - len(view)
 
     def close(self) -> None:
@@ -222,6 +225,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key:
     length is encoded whole and runs over as many sequences as it needs; columns
     but the id and the text are not read; an empty table has no files."""
     spark = docs.sparkSession
+    vocabulary = max(_tokenizer(tokenizer).get_vocab_size(with_added_tokens=True), end_id + 1)
     path = (path or scratch(spark, "tokens")).rstrip("/")
     raw = bound_batches(docs).select(F.col(f"`{key}`").cast("long").alias("doc_id"), no_null_text(F.col(f"`{text}`")).alias("text"))
     total = raw.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
@@ -245,7 +249,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key:
                 fs, folder = _place(path)
                 fs.create_dir(folder, recursive=True)
                 sinks = [fs.open_output_stream(_place(f)[1]) for f in files]
-                out, index = SequenceWriter(sinks[0], length, batch), pa.ipc.new_stream(sinks[1], _INDEX)
+                out, index = SequenceWriter(sinks[0], length, batch, vocabulary), pa.ipc.new_stream(sinks[1], _INDEX)
             for i, ids in zip(b["doc_id"].to_pylist(), encode_texts(b["text"].to_pylist(), tokenizer), strict=True):
                 held.append((i, out.append(ids, end_id)))
                 n_docs += 1
@@ -276,9 +280,9 @@ def _index(rows: list[tuple[int | None, int]]) -> pa.RecordBatch:
 
 
 def read_tokens(spark: SparkSession, written: TokenFiles) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ends) per document, read back from the files, one task per file.
+    """(doc_id, start, n_tokens, ids_crc32, masked) per document, read back from the files, one task per file.
 
-    ``ends``: whether the mask marks the document's last token, and no other, as its end."""
+    ids_crc32 is taken over the ids as little-endian uint32; ``masked``: whether the mask holds all its tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for ids_file, docs_file, base in zip(b["ids_file"].to_pylist(), b["docs_file"].to_pylist(), b["before"].to_pylist(), strict=True):
@@ -286,19 +290,18 @@ def read_tokens(spark: SparkSession, written: TokenFiles) -> DataFrame:
                 for index in read_index(docs_file):
                     sizes = index["n_tokens"].to_numpy()
                     starts = at + np.cumsum(sizes) - sizes
-                    crcs, ends = [], []
+                    crcs, masked = [], []
                     for s, n in zip(starts.tolist(), sizes.tolist(), strict=True):
-                        crc = 0
-                        for view in reader.tokens(s, n):
-                            crc = zlib.crc32(view.astype("<u4", copy=False), crc)
-                        marks = np.concatenate(list(reader.tokens(s, n, "mask")))
+                        crc, whole = 0, True
+                        for view, held in reader.tokens(s, n):
+                            crc, whole = zlib.crc32(view.astype("<u4", copy=False), crc), whole and held
                         crcs.append(crc)
-                        ends.append(bool(marks[-1] == END and (marks[:-1] == TOKEN).all()))
+                        masked.append(whole)
                     at += int(sizes.sum())
-                    yield pa.RecordBatch.from_arrays([index["doc_id"], pa.array(starts + base), index["n_tokens"], pa.array(crcs, pa.int64()), pa.array(ends)],
-                                                     names=["doc_id", "start", "n_tokens", "ids_crc32", "ends"])
+                    yield pa.RecordBatch.from_arrays([index["doc_id"], pa.array(starts + base), index["n_tokens"], pa.array(crcs, pa.int64()), pa.array(masked)],
+                                                     names=["doc_id", "start", "n_tokens", "ids_crc32", "masked"])
                 reader.close()
 
     listed = spark.createDataFrame(written.files, "part int, ids_file string, docs_file string, docs long, tokens long, before long")
     dealt = listed.repartitionByRange(max(1, len(written.files)), "part")
-    return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ends boolean")
+    return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, masked boolean")
