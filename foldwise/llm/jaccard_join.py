@@ -213,7 +213,7 @@ def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, n: int = N,
-                 recall: float = RECALL, max_hashes: int = MAX_HASHES) -> DataFrame:
+                 recall: float = RECALL, max_hashes: int = MAX_HASHES, count_links: bool = True) -> DataFrame:
     """(id, class_id, n_links, kept), one row per row of ``docs``.
 
     ``class_id`` is the smallest id reachable by links, ``n_links`` the number of
@@ -221,7 +221,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     the row's id is the class id.  NULL ids link with nothing (class NULL, kept);
     rows that repeat an id count as one document, linked to whatever one of its
     texts links to; NULL and empty texts link with nothing; other columns are
-    not read; an empty table gives an empty result."""
+    not read; an empty table gives an empty result.  Without ``count_links`` the
+    links inside a class are not counted (``n_links`` is NULL); classes are the same."""
     bands, rows = choose_bands(threshold, recall, max_hashes)
     signed = checkpoint(sign_documents(docs, bands, rows, n, key, text))
     linkable = signed.where("id IS NOT NULL AND n_grams > 0")
@@ -283,7 +284,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     counted = map_groups(inside, ["component", "bi", "bj"], count, "id long, n long")
     ends = crossing.select(F.col("a").alias("id"), F.col("b").alias("other")).union(crossing.select("b", "a"))
     crossed = ends.join(weights.select(F.col("id").alias("other"), F.col("copies").alias("n")), "other").select("id", "n")
-    links = counted.union(crossed).groupBy("id").agg(F.sum("n").alias("n"))
+    found = counted.union(crossed) if count_links else crossed.where(F.lit(False))
+    links = found.groupBy("id").agg(F.sum("n").alias("n"))
     final = connected_components(linked.union(crossing).union(_equal_ids(nodes, linkable)))
     labels = (nodes.select("digest", F.col("node").alias("id"), "copies").join(final, "id", "left").join(links, "id", "left")
               .select("digest", F.coalesce("component", "id").alias("class_id"),
@@ -292,7 +294,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
         F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
     out = signed.select("id").join(known, "id", "left")
     cls = F.coalesce("class_id", "id")
-    return out.select("id", cls.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    n_links = F.coalesce("n_links", F.lit(0)).cast("long") if count_links else F.lit(None).cast("long")
+    return out.select("id", cls.alias("class_id"), n_links.alias("n_links"),
                       F.coalesce(cls == F.col("id"), F.lit(True)).alias("kept"))
 
 

@@ -40,8 +40,9 @@ from foldwise.llm.jaccard_join import _BASE, _INVERSE, _mix, _powers
 
 WIDTH = 50
 KGRAM = 20
-#: bytes of text of a block
-BLOCK_BYTES = 12 << 20
+#: bytes of text of a block, and rows
+BLOCK_BYTES = 8 << 20
+BLOCK_ROWS = 8192
 #: an anchor in more blocks than this is cut into single windows
 HOT_BLOCKS = 1000
 #: hash buckets per block of text, and the number of buckets up to which there is one per block
@@ -385,27 +386,44 @@ def _repeats_of_part(held: list[tuple], k: int, width: int) -> list[tuple]:
     return [(x, _pack(s=s[i], n=z[i])) for x, i in _by_bucket(b)]
 
 
+def merged_spans(start: np.ndarray, length: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the maximal stretches covered by the given ones, none of which leaves its row."""
+    some = length > 0
+    order = np.argsort(start[some], kind="stable")
+    start, end = start[some][order], (start + length)[some][order]
+    row = np.searchsorted(off, start, "right") - 1
+    reach = np.maximum.accumulate(end) if len(end) else end
+    new = np.ones(len(start), bool)
+    new[1:] = (start[1:] > reach[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(start)]]).astype(np.int64)[: len(first)] - 1
+    return row[first], start[first], reach[last]
+
+
 def _cut(t: pa.Table, gone: pa.Table) -> pa.Table:
     """Step 5: texts of the block without the removed stretches."""
     t = _block(t)
     data, off, _ = _texts(t)
-    change = np.zeros(len(data) + 1, np.int32)
-    for p in gone["payload"]:
-        s, n = _unpack(memoryview(p.as_buffer()), "<i8", "<i8")
-        np.add.at(change, s, 1)
-        np.add.at(change, s + n, -1)
-    out = np.cumsum(change[:-1]) > 0
-    kept, spans = [], []
-    for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-        o = np.concatenate([[False], out[a:b], [False]])
-        edge = np.flatnonzero(o[1:] != o[:-1])
-        spans.append([{"start": x, "length": y - x} for x, y in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)])
-        kept.append(data[a:b][~out[a:b]].tobytes() if len(edge) else data[a:b].tobytes())
-    return pa.table([t["rec"], t["id"], pa.array(kept, pa.binary()), pa.array(spans, SPANS)], names=["rec", "id", "kept", "spans"])
+    parts = [_unpack(memoryview(p.as_buffer()), "<i8", "<i8") for p in gone["payload"]]
+    start, length = (np.concatenate([np.empty(0, np.int64), *(p[k] for p in parts)]) for k in (0, 1))
+    del parts
+    row, start, end = merged_spans(start, length, off)
+    before = np.concatenate([[0], np.cumsum(end - start)])  # bytes removed up to each stretch
+    kept = np.empty(len(data) - int(before[-1]), np.uint8)
+    at = 0
+    for a, b in zip([0, *end.tolist()], [*start.tolist(), len(data)], strict=True):
+        kept[at: at + b - a] = data[a:b]
+        at += b - a
+    ends = off - before[np.searchsorted(row, np.arange(len(off)))]
+    kept_col = pa.Array.from_buffers(pa.binary(), len(t), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(kept)])
+    spans = pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(row, np.arange(len(t) + 1)), pa.int32()),
+        pa.StructArray.from_arrays([pa.array(start - off[row]), pa.array(end - start)], fields=list(SPANS.value_type)))
+    return pa.table([t["rec"], t["id"], kept_col, spans], names=["rec", "id", "kept", "spans"])
 
 
 def suffix_dedup(docs: DataFrame, keep: list[Column], key: str = "doc_id", text: str = "text", width: int = WIDTH,
-                 kgram: int = KGRAM, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+                 kgram: int = KGRAM, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``rec`` (struct of ``keep``), ``id``, ``kept`` (remaining bytes) and ``spans`` (removed stretches of the
     text's bytes: start, length), one row per row.
 
@@ -417,8 +435,8 @@ def suffix_dedup(docs: DataFrame, keep: list[Column], key: str = "doc_id", text:
         raise ValueError("a k-gram has 8 bytes or more and fits in a window")
     raw = bound_batches(docs).select(F.struct(*keep).alias("rec"), F.col(f"`{key}`").cast("long").alias("id"),
                       F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("data"))
-    total = raw.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
+    total, n = raw.agg(F.sum(F.octet_length("data")), F.count(F.lit(1))).first()
+    blocks = max(1, math.ceil((total or 0) / block_bytes), math.ceil(n / block_rows))
     buckets = max(math.ceil(blocks / BUCKET_BLOCKS), min(blocks, MANY))
     rows = raw.select(F.pmod(F.xxhash64(F.lit(3), "id", "data"), F.lit(blocks)).cast("int").alias("block"),
                       "id", F.xxhash64("data").alias("k"), "rec", "data")

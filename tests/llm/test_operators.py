@@ -467,3 +467,59 @@ def test_digests(spark):
     for i, kept, spans in brute_dedup(rows):
         r = out[i]
         assert (r.n_removed, r.n_spans, r.kept_sha256) == (sum(n for _, n in spans), len(spans), hashlib.sha256(kept).hexdigest())
+
+
+def test_pipeline_of_odd_rows(spark):
+    """NULL ids, repeated rows, ids shared by different texts, long texts, extra columns of clashing names."""
+    import corpus_pipeline as P
+
+    rng = random.Random(21)
+    prose = lambda n: " ".join(rng.choice(["the", "of", "alpha"]) + f"{rng.randrange(10**6)}x" for _ in range(n))
+    a, b, c, d = (prose(60) for _ in range(4))
+    rows = [(1, a, "en", "s"), (1, a, "en", "s"), (2, a + " end", "en", "s"), (2, b, "en", "s"), (None, b, "en", "s"), (None, c, "en", "s"),
+            (3, d, "en", "s"), (4, prose(9000), "en", "s"), (5, None, "en", "s"), (6, "", None, "s"), (7, "1 2 3", "en", "s")]
+    docs = documents(spark, rows)
+    kept = P.language(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.count() == 8
+    near = P.near_duplicates(spark, kept, SF)
+    assert near.columns == docs.columns
+    # one row of the repeated one, the clean text that shares id 2, not the copy without an id
+    assert sorted(((r.doc_id or 0), r.text) for r in near.collect()) == sorted([(1, a), (2, b), (0, c), (3, d), (4, rows[7][1])])
+    for stage in (P.repeated_substrings, P.mix_sources):
+        near = stage(spark, near, SF)
+        assert near.columns == docs.columns
+    out = P.tokens(spark, near, SF)
+    assert out.count() >= 1 and out.where("NOT round_trip").count() == 0
+
+
+def test_language_without_labels_keeps_texts(spark):
+    import corpus_pipeline as P
+
+    docs = documents(spark, [(0, "some words", None, "s"), (1, "été", None, None), (2, "12 !", None, "s"), (3, None, None, "s"), (4, "", None, "s")])
+    assert sorted(r.doc_id for r in P.language(spark, docs, SF).collect()) == [0, 1]
+
+
+def test_replacement_signs_of_the_text_stay(spark):
+    import corpus_pipeline as P
+
+    text = "a\ufffdb \ufdd1 \ufdd10 " + "é" * 3
+    broken = spark.createDataFrame([(text.encode() + b"\xc3",), (b"\xa9x" + "\ufffd".encode(),)], "v binary")
+    got = [r[0] for r in broken.select(P.without_broken(F.col("v").cast("string"))).collect()]
+    assert got == [text, "x\ufffd"]
+    shared = "é" * 24 + "Z"  # 49 bytes, cut inside a character where 50 bytes repeat
+    rows = [(1, "q" + shared + "é rest \ufffd one", "en", "s"), (2, "w \ufffd " + "q" + shared + "è more \ufffd", "en", "s")]
+    out = {r.doc_id: r.text for r in P.repeated_substrings(spark, documents(spark, rows), SF).collect()}
+    assert out == {1: rows[0][1], 2: "w \ufffd  more \ufffd"}
+
+
+def test_links_need_not_be_counted(spark, docs):
+    with_links = {(r.id, r.class_id, r.kept) for r in jaccard_join.jaccard_join(docs).collect()}
+    without = jaccard_join.jaccard_join(docs, count_links=False).collect()
+    assert {(r.id, r.class_id, r.kept) for r in without} == with_links and all(r.n_links is None for r in without)
+
+
+def test_merged_spans():
+    row, start, end = suffix_dedup.merged_spans(np.array([5, 0, 2, 10, 8, 20]), np.array([3, 3, 2, 5, 2, 0]), np.array([0, 10, 10, 30]))
+    assert (row.tolist(), start.tolist(), end.tolist()) == ([0, 0, 2], [0, 5, 10], [4, 10, 15])
+    none = suffix_dedup.merged_spans(np.empty(0, np.int64), np.empty(0, np.int64), np.array([0, 4]))
+    assert all(len(x) == 0 for x in none)
