@@ -53,13 +53,31 @@ def stratified_kfold(df: DataFrame, label: str, k: int = DEFAULT_FOLDS, seed: in
     return ranked.withColumn("fold", (F.col("__r") % k).cast("int")).drop("__h", "__r")
 
 
-def holdout(df: DataFrame, frac: float = 0.1, seed: int = DEFAULT_SEED, id_col: str = "index") -> DataFrame:
-    """Exactly max(1, floor(frac * n)) rows (smallest hashes) get is_valid = true."""
+def holdout(df: DataFrame, frac: float = 0.1, seed: int = DEFAULT_SEED, id_col: str = "index", name: str = "is_valid") -> DataFrame:
+    """max(1, floor(frac * n)) rows, those of smallest hash, get is_valid = true.
+
+    The threshold is found by selection: two histograms of 16 bits of the hash
+    (65,536 bins at most, added up before they are shuffled), then the ids among
+    the few rows that have the threshold's hash.  Rows do not move.  Rows that
+    share an id share a hash and stay together, so repeated ids may add rows."""
     n = df.count()
+    if not n:
+        return df.withColumn(name, F.lit(True))
     m = max(1, int(frac * n))
-    h = df.withColumn("__h", stable_hash(id_col, seed)).withColumn("__all", F.lit(0))
-    ranked = rank_within(h, ["__h", id_col], ["__all"], out="__r")
-    return ranked.withColumn("is_valid", F.col("__r") < m).drop("__h", "__r", "__all")
+    h = stable_hash(id_col, seed)
+    hashed = df.select(F.col(id_col).alias("__id"), h.alias("__h"))
+    before, prefix = 0, 0
+    for shift in (16, 0):
+        digit = F.shiftright("__h", shift).bitwiseAND(0xFFFF)
+        rows = hashed if shift else hashed.where(F.shiftright("__h", 16) == prefix)
+        for r in sorted(rows.groupBy(digit.alias("d")).count().collect()):
+            if before + r["count"] >= m:
+                prefix = (prefix << 16) | r.d
+                break
+            before += r["count"]
+    last = hashed.where(F.col("__h") == prefix).orderBy("__id").limit(m - before).agg(F.max("__id")).first()[0]
+    tied = (h == prefix) & (F.lit(True) if last is None else F.coalesce(F.col(id_col) <= F.lit(last), F.lit(True)))
+    return df.withColumn(name, (h < prefix) | tied)
 
 
 # ---------------------------------------------------------------- group k-fold

@@ -1,19 +1,18 @@
 """Model registry (C24): nine named candidates in a fixed order.
 
 Linear candidates are solved from Gram aggregates (see ``gram``); tree
-candidates are ``pyspark.ml`` estimators with presets translated from the
-reference's libraries.  Boosters cannot reproduce LightGBM / XGBoost values;
-they keep the interface, the hyper-parameter intent and the early-stopping
-semantics ("best iteration, patience r").
+candidates are grown on binned rows (see ``forests``) with the reference's
+hyper-parameters: leaf-limited and depth-limited boosting with L2 on leaves, bags
+of rows and features, early stopping by patience, bagged trees, extra-trees.
+Random draws differ from other libraries', so values do too; interface,
+hyper-parameters and stopping rules are kept.
 """
 
 from __future__ import annotations
 
-import json
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, fields, replace
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from foldwise.operators.trees import TreeParams
 
 # ---- fixed values: candidate names in registry order ----------------------
 CANDIDATES = ("lgb", "xgb", "ridge", "elastic_net", "hist_gbrt", "random_forest",
@@ -26,41 +25,31 @@ ENET_L1_RATIOS = (0.1, 0.5, 0.9, 0.99)
 @dataclass(frozen=True)
 class TreeSpec:
     name: str
-    kind: str                      # gbt | rf | et
-    params: dict = field(default_factory=dict)
-    final_params: dict | None = None
-    early_stop: int | None = None  # patience in rounds, on the validation rows
+    params: TreeParams
+    final_params: TreeParams | None = None   # of the final fit, if they differ
+    final_stop_share: float | None = None    # rows of the final fit that decide when it stops (None: the hold-out's)
     description: str = ""
 
 
-def _presets(scale: str) -> dict[str, TreeSpec]:
-    """Tree presets.  Fixed values: with scale="reference" the round counts,
-    learning rates, depths / leaf sizes, sampling fractions and patience are
-    the reference's hyper-parameters; scale="small" only lowers round / tree
-    counts for tests."""
-    big = scale == "reference"
-    r = (lambda a, b: a if big else b)
-    return {
-        "lgb": TreeSpec("lgb", "gbt", dict(maxIter=r(2000, 40), stepSize=0.05, maxDepth=5, subsamplingRate=0.9,
-                                           featureSubsetStrategy="0.9", minInstancesPerNode=20), early_stop=80,
-                        description="leaf-limited booster, early stop"),
-        "xgb": TreeSpec("xgb", "gbt", dict(maxIter=r(3000, 40), stepSize=0.05, maxDepth=6, subsamplingRate=0.9,
-                                           featureSubsetStrategy="0.9"), early_stop=80,
-                        description="depth-6 booster, early stop"),
-        "hist_gbrt": TreeSpec("hist_gbrt", "gbt", dict(maxIter=r(200, 30), stepSize=0.08, maxDepth=7, minInstancesPerNode=15, maxBins=255),
-                              final_params=dict(maxIter=r(400, 40), stepSize=0.06, maxDepth=7, minInstancesPerNode=12, maxBins=255),
-                              description="histogram booster"),
-        "random_forest": TreeSpec("random_forest", "rf", dict(numTrees=r(400, 30), maxDepth=r(30, 12), minInstancesPerNode=2,
-                                                              featureSubsetStrategy="all"),
-                                  description="bagged trees"),
-        "extra_trees": TreeSpec("extra_trees", "et", dict(numTrees=r(500, 30), maxDepth=r(30, 12), minInstancesPerNode=2),
-                                description="unbagged trees on random cuts"),
-        "grad_boosting_sklearn": TreeSpec("grad_boosting_sklearn", "gbt", dict(maxIter=r(180, 30), stepSize=0.06, maxDepth=4,
-                                                                               minInstancesPerNode=5, subsamplingRate=0.9),
-                                          final_params=dict(maxIter=r(250, 40), stepSize=0.05, maxDepth=4, minInstancesPerNode=4,
-                                                            subsamplingRate=0.9),
-                                          description="classic booster"),
-    }
+# ---- fixed values: rounds, rates, sizes, shares and patience of the presets
+_PRESETS = {
+    "lgb": TreeSpec("lgb", TreeParams("boost", trees=2000, rate=0.05, leaves=31, min_rows=20, l2=1.0, rows=0.9, columns=0.9, patience=80),
+                    description="leaf-limited booster, early stop"),
+    "xgb": TreeSpec("xgb", TreeParams("boost", trees=3000, rate=0.05, depth=6, l2=1.0, rows=0.9, columns=0.9, patience=80),
+                    description="depth-6 booster, early stop"),
+    "hist_gbrt": TreeSpec("hist_gbrt", TreeParams("boost", trees=200, rate=0.08, depth=7, leaves=31, min_rows=15, l2=1e-3),
+                          TreeParams("boost", trees=400, rate=0.06, depth=7, leaves=31, min_rows=12, l2=1e-3, patience=25), 0.12,
+                          description="histogram booster"),
+    "random_forest": TreeSpec("random_forest", TreeParams("bag", trees=400, min_rows=2), description="bagged trees"),
+    "extra_trees": TreeSpec("extra_trees", TreeParams("extra", trees=500, min_rows=2), description="trees on random thresholds"),
+    "grad_boosting_sklearn": TreeSpec("grad_boosting_sklearn", TreeParams("boost", trees=180, rate=0.06, depth=4, min_rows=5, rows=0.9),
+                                      TreeParams("boost", trees=250, rate=0.05, depth=4, min_rows=4, rows=0.9),
+                                      description="classic booster"),
+}
+# ---------------------------------------------------------------------------
+
+#: ``scale="small"`` (tests): so many rounds or trees at most
+SMALL_TREES = 30
 
 
 def registry(scale: str = "reference", include: tuple[str, ...] = CANDIDATES) -> list[str]:
@@ -71,94 +60,17 @@ def registry(scale: str = "reference", include: tuple[str, ...] = CANDIDATES) ->
 
 
 def tree_spec(name: str, scale: str = "reference") -> TreeSpec:
-    return _presets(scale)[name]
+    spec = _PRESETS[name]
+    if scale == "reference":
+        return spec
+    small = lambda p: p and replace(p, trees=min(p.trees, SMALL_TREES))
+    return replace(spec, params=small(spec.params), final_params=small(spec.final_params))
 
 
 def replace_params(spec: TreeSpec, overlay: dict) -> TreeSpec:
     """Same candidate, overridden parameters (of its final fit too)."""
-    final = {**spec.final_params, **overlay} if spec.final_params else spec.final_params
-    return replace(spec, params={**spec.params, **overlay}, final_params=final)
-
-
-#: random cuts drawn per feature and fit
-N_CUTS = 64
-
-
-class ExtraTreesRegressor:
-    """Each feature is cut at N_CUTS values drawn by a seeded hash of the
-    rows; every node of every unbagged tree chooses among as many (feature, cut)
-    pairs, drawn anew, as there are features."""
-
-    def __init__(self, features_col: str, label_col: str, seed: int, **params):
-        self.features_col, self.label_col, self.seed, self.params = features_col, label_col, seed, params
-
-    def fit(self, df: DataFrame) -> ExtraTreesModel:
-        from pyspark.ml.functions import vector_to_array
-        from pyspark.ml.regression import RandomForestRegressor
-
-        values = df.select(vector_to_array(self.features_col).alias("v"))
-        cuts = [list(r.v) for r in values.orderBy(F.xxhash64("v", F.lit(self.seed)), "v").limit(N_CUTS).collect()]
-        est = RandomForestRegressor(featuresCol=ExtraTreesModel.CUT_COL, labelCol=self.label_col, seed=self.seed, bootstrap=False,
-                                    featureSubsetStrategy=str(1 / max(2, len(cuts))), maxBins=2, **self.params)
-        return ExtraTreesModel(est.fit(df.withColumn(ExtraTreesModel.CUT_COL, _beyond_cuts(self.features_col, cuts))),
-                               cuts, self.features_col)
-
-
-def _beyond_cuts(features_col: str, cuts: list[list[float]]) -> Column:
-    """Vector of 0 / 1: is feature j beyond its k-th cut."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    table = F.from_json(F.lit(json.dumps(cuts)), "array<array<double>>")
-    x = vector_to_array(features_col)
-    return array_to_vector(F.flatten(F.transform(table, lambda c: F.zip_with(x, c, lambda v, t: (v > t).cast("double")))))
-
-
-class ExtraTreesModel:
-    """A forest over the cut features, used like an MLlib model."""
-
-    CUT_COL = "__cut_features"
-
-    def __init__(self, forest, cuts: list[list[float]], features_col: str):
-        self.forest, self.cuts, self.features_col = forest, cuts, features_col
-
-    @property
-    def predictionCol(self):
-        return self.forest.predictionCol
-
-    def copy(self, extra=None) -> ExtraTreesModel:
-        return ExtraTreesModel(self.forest.copy(extra), self.cuts, self.features_col)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.forest.transform(df.withColumn(self.CUT_COL, _beyond_cuts(self.features_col, self.cuts))).drop(self.CUT_COL)
-
-    def write(self) -> ExtraTreesModel:
-        return self
-
-    def overwrite(self) -> ExtraTreesModel:
-        return self
-
-    def save(self, path: str) -> None:
-        from pyspark.sql import SparkSession
-
-        self.forest.write().overwrite().save(f"{path}/forest")
-        doc = json.dumps({"cuts": self.cuts, "features_col": self.features_col})
-        SparkSession.getActiveSession().createDataFrame([(doc,)], "doc string").write.mode("overwrite").text(f"{path}/cuts")
-
-    @classmethod
-    def load(cls, path: str) -> ExtraTreesModel:
-        from pyspark.ml.regression import RandomForestRegressionModel
-        from pyspark.sql import SparkSession
-
-        doc = json.loads(SparkSession.getActiveSession().read.text(f"{path}/cuts").first()[0])
-        return cls(RandomForestRegressionModel.load(f"{path}/forest"), doc["cuts"], doc["features_col"])
-
-
-def build_estimator(spec: TreeSpec, seed: int, features_col: str, label_col: str, final: bool = False):
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-
-    params = dict(spec.final_params if (final and spec.final_params) else spec.params)
-    if spec.kind == "gbt":
-        return GBTRegressor(featuresCol=features_col, labelCol=label_col, seed=seed, **params)
-    if spec.kind == "et":
-        return ExtraTreesRegressor(features_col, label_col, seed, **params)
-    return RandomForestRegressor(featuresCol=features_col, labelCol=label_col, seed=seed, **params)
+    unknown = set(overlay) - {f.name for f in fields(TreeParams)}
+    if unknown:
+        raise ValueError(f"unknown tree parameters: {sorted(unknown)}")
+    final = replace(spec.final_params, **overlay) if spec.final_params else None
+    return replace(spec, params=replace(spec.params, **overlay), final_params=final)

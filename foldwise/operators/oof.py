@@ -3,19 +3,17 @@
 Linear family: one Gram pass over cells (outer fold x inner fold) gives every
 fold's normal equations; ridge picks its alpha by exact leave-one-out in one
 more vectorised scan; Bayesian ridge and elastic net (inner-fold CV on the
-alpha path) are solved on the driver from p x p matrices.  Coefficients of
-all (scope, target, model) triples form a small table that is broadcast and
-applied as an array dot product, so scoring stays one projection.
-
-Tree family: ``pyspark.ml`` fits per (target, fold, model) on the cached,
-fold-tagged frame with fold-specific imputation, submitted from a bounded
-driver thread pool; early-stopping boosters choose their best iteration on
-validation rows and are refitted with the same seed.
+alpha path) are solved on the driver from p x p matrices.  All (target, model)
+scores of a row come from one matrix product per Arrow batch, with the
+coefficients of the row's own fold; rows never move.
+
+Tree family: all fits (target x fold x candidate) are grown together on rows
+that are binned once (see ``forests``), with fold-specific imputation; boosters
+stop by patience on the validation rows while they grow.
 """
 
 from __future__ import annotations
 
-import concurrent.futures as cf
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -23,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldwise.functions.exprs import inverse_bounded, inverse_floored, inverse_plain, log_target, stable_hash
-from foldwise.operators import gram, models
+from foldwise.operators import binning, forests, gram, models
 from foldwise.operators.prep import PrepModel
 from foldwise.operators.quantiles import ALL
 
@@ -217,28 +216,63 @@ def _enet(mom, d, tmat, p, ti, name, s, cell_ids, cfg) -> LinearFit:
     return LinearFit(s, name, "elastic_net", gram.raw_coefficients(d, w, b0).tolist(), {"alpha": float(a), "l1_ratio": r})
 
 
+def _linear_scores(width: int, centre: np.ndarray, scopes: np.ndarray, weights: np.ndarray, keep: Sequence[str], out: Sequence[str]):
+    """mapInArrow body: columns ``keep`` as they are, then one score per column of the weights of the row's scope (NULL without one)."""
+
+    def run(batches):
+        for b in batches:
+            n = b.num_rows
+            scope = b["__scope"].to_numpy(zero_copy_only=False)
+            a = np.ones((n, 2 * width + 1))
+            for j in range(width):
+                x = b[f"__x{j}"].to_numpy(zero_copy_only=False).astype(np.float64)
+                miss = np.isnan(x)
+                a[:, j], a[:, width + j] = np.where(miss, 0.0, x - centre[j]), miss
+            scored = np.full((n, len(out)), np.nan)
+            for k, s in enumerate(scopes):
+                mine = scope == s
+                if mine.any():
+                    scored[mine] = a[mine] @ weights[k]
+            known = np.isin(scope, scopes)
+            yield pa.RecordBatch.from_arrays(
+                [*[b[c] for c in keep], *[pa.array(scored[:, i], mask=~known) for i in range(len(out))]],
+                schema=pa.schema([*[b.schema.field(c) for c in keep], *[pa.field(c, pa.float64()) for c in out]]))
+
+    return run
+
+
+def score_linear(df: DataFrame, fits: Sequence[LinearFit], features: Sequence[str], centre: Sequence[float],
+                 scope_col: str | None = "fold", prefix: str = "__lin") -> tuple[DataFrame, dict[tuple[str, str], str]]:
+    """``df`` with one raw score column per (target, model), and the columns' names: one row per row, no shuffle.
+
+    With ``scope_col`` each row is scored by the model of its own fold (OOF),
+    without it by the ALL-rows model (final / test)."""
+    pairs = list(dict.fromkeys((f.target, f.model) for f in fits))
+    names = {pair: f"{prefix}{i}" for i, pair in enumerate(pairs)}
+    scopes = np.array(sorted({f.scope for f in fits}), np.int64)
+    weights = np.full((len(scopes), 2 * len(features) + 1, len(pairs)), np.nan)
+    for f in fits:
+        weights[np.searchsorted(scopes, f.scope), :, pairs.index((f.target, f.model))] = f.beta
+    scope = F.col(scope_col).cast("long") if scope_col else F.lit(ALL).cast("long")
+    ready = df.select("*", F.coalesce(scope, F.lit(-(1 << 40))).alias("__scope"),
+                      *[F.col(c).cast("double").alias(f"__x{j}") for j, c in enumerate(features)])
+    schema = T.StructType([*df.schema.fields, *[T.StructField(c, T.DoubleType()) for c in names.values()]])
+    body = _linear_scores(len(features), np.asarray(centre, np.float64), scopes, weights, df.columns, list(names.values()))
+    return ready.mapInArrow(body, schema), names
+
+
 def apply_linear(df: DataFrame, fits: Sequence[LinearFit], features: Sequence[str], centre: Sequence[float],
                  targets: Sequence[tuple[str, bool]], inverse: str, scope_col: str | None = "fold") -> DataFrame:
-    """Long predictions (index, target, model, fold, y, pred).  With ``scope_col``
-    each row is scored by the model of its own fold (OOF); without it by the
-    ALL-rows model (final / test)."""
-    spark = df.sparkSession
-    coef = spark.createDataFrame([(f.scope, f.target, f.model, f.beta) for f in fits],
-                                 "scope int, target string, model string, beta array<double>")
-    logs = {name: use_log for name, use_log in targets}
-    a = _augmented(features, centre)
+    """Long predictions (index, target, model, fold, y, pred), of the model of each row's own fold, or without
+    ``scope_col`` of the ALL-rows model."""
+    logs = dict(targets)
     fold = F.col(scope_col).cast("int") if scope_col else F.lit(ALL)
-    ys = [F.struct(F.lit(name).alias("target"), F.col(name).cast("double").alias("y")) for name, _ in targets]
-    rows = df.select(ID, fold.alias("fold"), a.alias("__a"), F.explode(F.array(*ys)).alias("__t")).select(
-        ID, "fold", "__a", F.col("__t.target").alias("target"), F.col("__t.y").alias("y"))
-    # coefficient table: #scopes x #targets x #models rows -> broadcast
-    joined = rows.join(F.broadcast(coef), (rows.fold == coef.scope) & (rows.target == coef.target)).drop(coef.target)
-    raw = dot(F.col("__a"), F.col("beta"))
-    pred = F.lit(None).cast("double")
-    for name, use_log in logs.items():
-        pred = F.when(F.col("target") == name, _inverse(raw, use_log, inverse)).otherwise(pred)
-    out_fold = F.col("fold") if scope_col else F.lit(ALL)
-    return joined.select(ID, "target", "model", out_fold.alias("fold"), "y", pred.alias("pred"))
+    rows = df.select(ID, fold.alias("fold"), *dict.fromkeys([*features, *[t for t, _ in targets]]))
+    scored, names = score_linear(rows, fits, features, centre, "fold")
+    cells = [F.struct(F.lit(t).alias("target"), F.lit(m).alias("model"), F.col(t).cast("double").alias("y"),
+                      _inverse(F.col(c), logs[t], inverse).alias("pred")) for (t, m), c in names.items()]
+    return scored.select(ID, "fold", F.explode(F.array(*cells)).alias("__x")).select(
+        ID, "__x.target", "__x.model", "fold", "__x.y", "__x.pred")
 
 
 # ---------------------------------------------------------------- tree family
@@ -258,102 +292,64 @@ def _to_vector(arr: Column) -> Column:
     return array_to_vector(arr)
 
 
-def _best_iteration(losses: Sequence[float], patience: int) -> int:
-    """First minimum not improved for ``patience`` rounds (1-based count of trees)."""
-    best, best_i = np.inf, 0
-    for i, v in enumerate(losses):
-        if v < best:
-            best, best_i = v, i
-        elif i - best_i >= patience:
-            break
-    return best_i + 1
-
-
-def fit_tree_fold(train: DataFrame, valid: DataFrame, spec: models.TreeSpec, seed: int, final: bool = False):
-    est = models.build_estimator(spec, seed, "__v", "__y", final)
-    model = est.fit(train)
-    if spec.early_stop and spec.kind == "gbt" and valid is not None:
-        losses = model.evaluateEachIteration(valid, "squared")
-        best = _best_iteration(losses, spec.early_stop)
-        if best < len(losses):
-            est = models.build_estimator(models.replace_params(spec, {"maxIter": best}), seed, "__v", "__y", final)
-            model = est.fit(train)
-    return model
+#: parts of the blocks' rows: fold, hold-out inside the training rows
+FOLD, INNER = 0, 1
+
+
+def specs_of(names: Sequence[str], cfg) -> list[models.TreeSpec]:
+    """Presets of tree candidates with the run's overlays."""
+    return [models.replace_params(models.tree_spec(m, cfg.scale), cfg.tree_params.get(m, {})) for m in names]
+
+
+def tree_table(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]], per_fold: dict[int, PrepModel],
+               cfg: OOFConfig, specs: Sequence[models.TreeSpec], block_bytes: int | None = None
+               ) -> tuple[forests.Table, list[tuple[str, str, int]]]:
+    """Binned rows and one fit per (target, candidate, fold), with those keys.
+
+    Missing values take the bin of the fold's own median, and a fit may use the
+    features that its fold kept.  Cut points are the same for all folds (they
+    know no target)."""
+    used = [c for c in features if any(c in m.stats for m in per_fold.values())]
+    bins = binning.fit_bins(df, used, ID)
+    folds = sorted(per_fold)
+    medians = [[per_fold[f].stats[c].median if c in per_fold[f].stats else None for c in used] for f in folds]
+    inner = F.when(stable_hash(ID, cfg.seed + 11) % 10 == 0, F.lit(1)).otherwise(F.lit(0))
+    t = len(targets)
+    fits, keys = [], []
+    for spec in specs:
+        for f in folds:
+            allowed = tuple(j for j, c in enumerate(used) if c in per_fold[f].stats)
+            stop = None
+            if spec.params.patience:
+                # "inner" stops on a hash hold-out of the training rows, never on the scored fold
+                stop = (INNER, 1) if cfg.early_stop == "inner" else (FOLD, f)
+            seed = cfg.seed + f if cfg.seed_policy == "plus_fold" else cfg.seed
+            for i, (name, _) in enumerate(targets):
+                fits.append(forests.TreeFit(spec.name, i, spec.params, seed, folds.index(f), (FOLD, f), stop, allowed, shown=t + i))
+                keys.append((name, spec.name, f))
+    ys = [log_target(name, use_log) for name, use_log in targets] + [F.col(name) for name, _ in targets]
+    return forests.prepare(df, bins, [F.col("fold"), inner], ys, medians, fits, ID, block_bytes), keys
+
+
+def tree_oof_specs(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]], per_fold: dict[int, PrepModel],
+                   cfg: OOFConfig, specs: Sequence[models.TreeSpec]) -> DataFrame:
+    """OOF predictions of explicit tree specs, all fits grown together."""
+    table, keys = tree_table(df, features, targets, per_fold, cfg, specs)
+    logs = dict(targets)
+    at = F.col("fit") + 1
+    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), at)
+    raw = forests.held_predictions(table).withColumn("__log", pick([bool(logs[t]) for t, _, _ in keys]))
+    pred = F.when(F.col("__log"), _inverse(F.col("pred"), True, cfg.inverse)).otherwise(_inverse(F.col("pred"), False, cfg.inverse))
+    return raw.select(ID, pick([t for t, _, _ in keys]).alias("target"), pick([m for _, m, _ in keys]).alias("model"),
+                      pick([f for _, _, f in keys]).cast("int").alias("fold"), "y", pred.alias("pred"))
 
 
 def tree_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]], full: PrepModel,
              per_fold: dict[int, PrepModel], cfg: OOFConfig, names: Sequence[str]) -> DataFrame | None:
-    """OOF predictions of the tree candidates; one MLlib fit per (target, fold, model)."""
+    """OOF predictions of the tree candidates ``names``."""
     if not names:
         return None
-    # ``df`` is the checkpointed fold-tagged table; MLlib caches its own binned input per fit
-    base = df.select(ID, F.col("fold").cast("int").alias("fold"), *features, *[n for n, _ in targets])
-    jobs = []
-    for f in range(cfg.k):
-        m = per_fold[f]
-        vec = _to_vector(_imputed_vector(features, m))
-        for name, use_log in targets:
-            framed = base.select(ID, "fold", F.col(name).cast("double").alias("y"), log_target(name, use_log).alias("__y"),
-                                 vec.alias("__v"))
-            tr, va = framed.filter(F.col("fold") != f), framed.filter(F.col("fold") == f)
-            seed = cfg.seed + f if cfg.seed_policy == "plus_fold" else cfg.seed
-            for mname in names:
-                jobs.append((f, name, use_log, mname, tr, va, seed))
-
-    def run(job):
-        f, name, use_log, mname, tr, va, seed = job
-        spec = models.replace_params(models.tree_spec(mname, cfg.scale), cfg.tree_params.get(mname, {}))
-        if spec.early_stop and cfg.early_stop == "inner":
-            # stop on a hash hold-out of the training rows, never on the scored fold
-            inner = stable_hash(ID, cfg.seed + 11) % 10 == 0
-            return fit_tree_fold(tr.filter(~inner), tr.filter(inner), spec, seed)
-        return fit_tree_fold(tr, va, spec, seed)
-
-    with cf.ThreadPoolExecutor(max_workers=cfg.max_parallel_fits) as pool:
-        fitted = {(j[0], j[1], j[3]): model for j, model in zip(jobs, pool.map(run, jobs))}
-    # scoring: every model of fold f adds its own prediction column to that
-    # fold's rows, so the table is read once per fold (not once per fold x
-    # target x model); the long form is one explode
-    parts = []
-    for f in range(cfg.k):
-        vec = _to_vector(_imputed_vector(features, per_fold[f]))
-        scored = base.filter(F.col("fold") == f).select(
-            ID, *[F.col(n).cast("double").alias(f"__y{ti}") for ti, (n, _) in enumerate(targets)], vec.alias("__v"))
-        cells = []
-        for ti, (name, use_log) in enumerate(targets):
-            for mname in names:
-                model = fitted[(f, name, mname)]
-                col = f"__p{len(cells)}"
-                scored = model.copy({model.predictionCol: col}).transform(scored)
-                cells.append(F.struct(F.lit(name).alias("target"), F.lit(mname).alias("model"), F.col(f"__y{ti}").alias("y"),
-                                      _inverse(F.col(col), use_log, cfg.inverse).alias("pred")))
-        parts.append(scored.select(ID, F.explode(F.array(*cells)).alias("__x")).select(
-            ID, "__x.target", "__x.model", F.lit(f).alias("fold"), "__x.y", "__x.pred"))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
-
-
-def tree_oof_spec(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]],
-                  per_fold: dict[int, PrepModel], cfg: OOFConfig, spec: models.TreeSpec) -> DataFrame:
-    """OOF predictions of one explicit tree spec (folds fitted sequentially)."""
-    parts = []
-    for f in range(cfg.k):
-        vec = _to_vector(_imputed_vector(features, per_fold[f]))
-        for name, use_log in targets:
-            framed = df.select(ID, F.col("fold").cast("int").alias("fold"), F.col(name).cast("double").alias("y"),
-                               log_target(name, use_log).alias("__y"), vec.alias("__v"))
-            tr, va = framed.filter(F.col("fold") != f), framed.filter(F.col("fold") == f)
-            seed = cfg.seed + f if cfg.seed_policy == "plus_fold" else cfg.seed
-            model = fit_tree_fold(tr, va, spec, seed)
-            parts.append(model.transform(va).select(ID, F.lit(name).alias("target"), F.lit(spec.name).alias("model"),
-                                                    F.lit(f).alias("fold"), "y",
-                                                    _inverse(F.col("prediction"), use_log, cfg.inverse).alias("pred")))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    return tree_oof_specs(df, features, targets, per_fold, cfg, specs_of(names, cfg))
 
 
 def collect_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]], full: PrepModel,

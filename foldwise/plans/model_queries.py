@@ -161,7 +161,7 @@ def oof_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("oof_trees")
 def oof_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OOF predictions of the six tree candidates (pyspark.ml, reference presets)."""
+    """OOF predictions of the six tree candidates at the reference presets, all fits grown together."""
     tr = fold_frame(spark, sf_dir)
     full, per = fitted_prep(tr)
     cfg = oof.OOFConfig(k=K, seed=SEED, candidates=tuple(m for m in models.CANDIDATES if m not in models.LINEAR))

@@ -2,10 +2,11 @@
 
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from foldwise.operators import diagnose, models, oof, search
+from foldwise.plans import program_queries as Q
 from foldwise.plans import registry
 from foldwise.plans import train as T
 from foldwise.plans.program_queries import assay_config
@@ -13,23 +14,23 @@ from foldwise.sources import views
 from foldwise.sources.views import TARGETS
 
 #: tiny trees, so that all nine candidates fit in a test
-TINY = {n: {"numTrees": 2, "maxDepth": 2} if models.tree_spec(n).kind != "gbt" else {"maxIter": 2, "maxDepth": 2}
-        for n in models.CANDIDATES if n not in models.LINEAR}
+TINY = {n: {"trees": 2, "depth": 2} for n in models.CANDIDATES if n not in models.LINEAR}
 
 
-def test_reference_presets_are_the_default(spark, sf_dir, monkeypatch):
+def test_reference_presets_are_the_default():
     assert assay_config().scale == oof.OOFConfig().scale == "reference"
-    assert models.tree_spec("lgb").params["maxIter"] == 2000 and models.tree_spec("random_forest").params["numTrees"] == 400
-    seen = []
+    lgb, xgb = models.tree_spec("lgb").params, models.tree_spec("xgb").params
+    assert (lgb.trees, lgb.leaves, lgb.min_rows, lgb.l2, lgb.patience) == (2000, 31, 20, 1.0, 80)
+    assert (xgb.trees, xgb.depth, xgb.l2, xgb.rows, xgb.columns, xgb.patience) == (3000, 6, 1.0, 0.9, 0.9, 80)
+    assert models.tree_spec("random_forest").params.trees == 400 and models.tree_spec("extra_trees").params.trees == 500
+    hist = models.tree_spec("hist_gbrt")
+    assert (hist.final_params.trees, hist.final_params.patience, hist.final_stop_share) == (400, 25, 0.12)
 
-    def tree_oof(df, features, targets, full, per_fold, cfg, names):
-        seen.append((cfg.scale, list(names)))
-        raise Stop
 
-    monkeypatch.setattr(oof, "tree_oof", tree_oof)
-    with pytest.raises(Stop):
-        registry.queries()["oof_trees"](spark, sf_dir)
-    assert seen == [("reference", [m for m in models.CANDIDATES if m not in models.LINEAR])]
+def test_oof_trees_runs_at_the_reference_presets(spark, sf_dir):
+    rows = {(r.target, r.model): r for r in registry.queries()["oof_trees"](spark, sf_dir).collect()}
+    assert set(rows) == {(t, m) for t in TARGETS for m in models.CANDIDATES if m not in models.LINEAR}
+    assert len({r.n for r in rows.values()}) == 1 and all(np.isfinite(r.rmse) for r in rows.values())
 
 
 def test_adversarial_forest_has_all_trees(spark, sf_dir, monkeypatch):
@@ -65,46 +66,55 @@ def test_programs_train_every_candidate(spark, sf_dir, monkeypatch, name):
     assert seen[0].candidates == models.CANDIDATES
 
 
-def test_variant_five_takes_the_best_trial(spark, sf_dir, monkeypatch):
-    seen = []
-
-    def train(spark, df, cfg, fit_final=True):
-        seen.append(cfg)
-        return SimpleNamespace(metrics={"oof_score": 1.0, "oof_rmse": dict.fromkeys(TARGETS, 1.0), "si_blend_w": None})
-
-    best = {"trial": 3, "num_leaves": 40, "learning_rate": 0.05, "min_child_samples": 13, "lambda_l2": 0.1, "rmse": 1.0}
-    monkeypatch.setattr(T, "train", train)
-    monkeypatch.setattr(search, "random_search", lambda *a, **kw: [best])
-    rows = registry.queries()["variant_table"](spark, sf_dir).collect()
-    assert [r.variant for r in rows] == ["2", "3", "4", "5"]
-    assert all(c.candidates == models.CANDIDATES for c in seen)
-    assert [c.tree_params for c in seen] == [{}, {}, {}, {"lgb": search.to_mllib(best)}]
-
-
-def test_search_runs_all_trials_and_rounds(spark, sf_dir, monkeypatch):
-    seen = []
-
-    def tree_oof_spec(df, features, targets, per_fold, cfg, spec):
-        seen.append(spec.params["maxIter"])
-        return df.select(F.lit("t1").alias("target"), F.lit("lgb").alias("model"), F.lit(1.0).alias("y"), F.lit(0.0).alias("pred"))
-
-    monkeypatch.setattr(oof, "tree_oof_spec", tree_oof_spec)
-    assert registry.queries()["random_search"](spark, sf_dir).count() == 14
-    assert seen == [2000] * 14
-
-
-def test_extra_trees_differ(spark):
-    from pyspark.ml.functions import array_to_vector
-
-    df = spark.range(0, 400, numPartitions=3).select(
-        array_to_vector(F.array((F.col("id") % 37).cast("double"), (F.col("id") % 11).cast("double"), F.rand(3))).alias("__v"),
-        (F.col("id") % 37 + F.col("id") % 11).cast("double").alias("__y")).cache()
-    spec = models.replace_params(models.tree_spec("extra_trees"), {"numTrees": 8, "maxDepth": 6})
-    fit = models.build_estimator(spec, 7, "__v", "__y").fit(df)
-    trees = [t.toDebugString.split("\n", 1)[1] for t in fit.forest.trees]
-    assert len(trees) == 8 and len(set(trees)) == 8
-    mse, var = fit.transform(df).agg(F.avg((F.col("__y") - F.col("prediction")) ** 2), F.var_pop("__y")).first()
-    assert mse < 0.2 * var
+def test_variants_share_folds_and_take_the_best_trial(spark, sf_dir, monkeypatch):
+    """All four variants and the whole search, with few rounds."""
+    seen, found = [], []
+    combine, booster_search = T.combine, search.booster_search
+    monkeypatch.setattr(T, "combine", lambda ready, base, cfg: seen.append((cfg, base)) or combine(ready, base, cfg))
+    monkeypatch.setattr(search, "booster_search", lambda *a, **kw: found.append(booster_search(*a, **kw)) or found[0])
+    rows = Q.run_variants(views.train_part(views.assay(spark, sf_dir)), {"trees": 3})
+    assert [r[0] for r in rows] == ["2", "3", "4", "5"] and all(np.isfinite(r[3]) for r in rows)
+    assert rows[1][3] <= rows[0][3]  # the same predictions with a searched blend weight
+    assert all(c.candidates == models.CANDIDATES for c, _ in seen)
+    assert seen[0][1] is seen[1][1] and len(found[0]) == 14
+    best = found[0][0]
+    assert best["rmse"] == min(t["rmse"] for t in found[0])
+    assert seen[3][0].tree_params["lgb"] == {"trees": 3, **search.to_tree_params(best)}
+    lgb = [{(r["index"], r.target): r.pred for r in base.where("model = 'lgb'").collect()} for _, base in seen[2:]]
+    assert lgb[0].keys() == lgb[1].keys() and lgb[0] != lgb[1]
+
+
+def test_search_is_sequential_and_seeded():
+    space = search.SPACE
+
+    def bowl(trials):  # best at many leaves, a low rate and little l2
+        return [abs(t["num_leaves"] - 50) / 35 + (t["learning_rate"] - 0.035) * 20 + abs(np.log(t["lambda_l2"] / 1e-3)) / 10 for t in trials]
+
+    a, b = search.search(bowl, 40, 1), search.search(bowl, 40, 1)
+    assert a == b and len(a) == 40 and [t["rmse"] for t in a] == sorted(t["rmse"] for t in a)
+    assert all(lo <= t[name] <= hi for t in a for name, (lo, hi) in space.items())
+    later = [t["rmse"] for t in a if t["trial"] >= 10]
+    assert np.mean(later) < np.mean([t["rmse"] for t in a if t["trial"] < 10])  # it learns
+    asked = []
+    search.search(lambda trials: asked.append(len(trials)) or [1.0] * len(trials), 14, 3)
+    assert asked == [10, 1, 1, 1, 1]
+
+
+def test_l2_and_leaves_take_effect(spark, sf_dir):
+    """The search's parameters reach the trees."""
+    from foldwise.plans.model_queries import FEATURES, TARGET_SPECS, fitted_prep, fold_frame
+
+    tr = fold_frame(spark, sf_dir)
+    _, per = fitted_prep(tr)
+    cfg = oof.OOFConfig(k=5, seed=1)
+    spec = models.replace_params(models.tree_spec("lgb"), {"trees": 4})
+    got = []
+    for overlay in ({}, {"l2": 500.0}, {"leaves": 4}, {"min_rows": 200}):
+        o = oof.tree_oof_specs(tr, FEATURES, TARGET_SPECS[:1], per, cfg, [models.replace_params(spec, overlay)])
+        got.append({r["index"]: r.pred for r in o.collect()})
+    assert all(g.keys() == got[0].keys() for g in got) and all(g != got[0] for g in got[1:])
+    with pytest.raises(ValueError, match="unknown tree parameters"):
+        models.replace_params(spec, {"maxIter": 3})
 
 
 def test_queries_follow_their_tables(spark, sf_dir, tmp_path):
@@ -124,8 +134,8 @@ def test_nine_candidates_meet_blend_and_bundle(spark, sf_dir, tmp_path):
     a = views.assay(spark, sf_dir)
     cfg = assay_config(mode="baseline", cv_strategy="hash", n_folds=2, candidates=models.CANDIDATES, tree_params=TINY)
     res = T.train(spark, views.train_part(a), cfg)
-    assert all(set(w) == set(models.CANDIDATES) for w in res.weights.values()) and len(res.final_trees) == 18
-    assert res.final_trees["t1", "hist_gbrt"].getNumTrees == 2
+    assert all(set(w) == set(models.CANDIDATES) for w in res.weights.values()) and len(res.final_trees.fits) == 18
+    assert all(1 <= m["rounds"] <= 2 for m in res.final_trees.fits)
     T.save(res, spark, str(tmp_path / "bundle"))
     again = T.load(spark, str(tmp_path / "bundle"))
     test = views.test_part(a).drop(*TARGETS)
