@@ -205,6 +205,27 @@ def similar_matrix(left: list[np.ndarray], right: list[np.ndarray], threshold: f
     return np.divide(both, union, out=np.zeros_like(both), where=union > 0) >= threshold
 
 
+def spanning_links(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row, column) of a boolean matrix that connect the same rows and columns as all its pairs do, at most one per row and column."""
+    rows_seen, columns_seen = np.zeros(hit.shape[0], bool), np.zeros(hit.shape[1], bool)
+    out_i, out_j = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for start in np.flatnonzero(hit.any(axis=1)):
+        if rows_seen[start]:
+            continue
+        front = np.array([start])
+        rows_seen[start] = True
+        while len(front):
+            columns = np.flatnonzero(hit[front].any(axis=0) & ~columns_seen)
+            columns_seen[columns] = True
+            out_i.append(front[hit[np.ix_(front, columns)].argmax(axis=0)])
+            out_j.append(columns)
+            front = np.flatnonzero(hit[:, columns].any(axis=1) & ~rows_seen)
+            rows_seen[front] = True
+            out_i.append(front)
+            out_j.append(columns[hit[np.ix_(front, columns)].argmax(axis=1)] if len(columns) else columns)
+    return np.concatenate(out_i), np.concatenate(out_j)
+
+
 def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
     """Rows of the two blocks of a table of :func:`in_blocks`, and whether they are one block."""
     b = t["b"].to_numpy()
@@ -259,15 +280,16 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
         grams = [_set(x) for x in t["grams"]]
         hit = similar_matrix([grams[i] for i in left], [grams[i] for i in right], threshold)
         hit &= (parts[left][:, None] != parts[right][None, :])
-        i, j = np.nonzero(hit)
+        i, j = spanning_links(hit)
         a, b = ids[left[i]], ids[right[j]]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)}) if len(a) else None
 
     crossing = checkpoint(map_groups(unsettled, ["bucket", "bi", "bj"], across, "a long, b long").distinct())
+    joined = checkpoint(connected_components(linked.union(crossing)))
 
-    # nodes of one component: links of each
+    # nodes of one component: links of each (every link lies in a component)
     weights = nodes.groupBy(F.col("node").alias("id")).agg(F.sum("copies").alias("copies"))
-    inside = in_blocks(first.join(weights, "id"), "component", "id").join(sets, "id")
+    inside = in_blocks(joined.join(weights, "id"), "component", "id").join(sets, "id")
 
     def count(t: pa.Table) -> pa.Table | None:
         left, right, same = _sides(t)
@@ -282,11 +304,9 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
         return pa.table({"id": np.concatenate(out_ids), "n": np.concatenate(out_n).astype(np.int64)})
 
     counted = map_groups(inside, ["component", "bi", "bj"], count, "id long, n long")
-    ends = crossing.select(F.col("a").alias("id"), F.col("b").alias("other")).union(crossing.select("b", "a"))
-    crossed = ends.join(weights.select(F.col("id").alias("other"), F.col("copies").alias("n")), "other").select("id", "n")
-    found = counted.union(crossed) if count_links else crossed.where(F.lit(False))
-    links = found.groupBy("id").agg(F.sum("n").alias("n"))
-    final = connected_components(linked.union(crossing).union(_equal_ids(nodes, linkable)))
+    links = (counted if count_links else joined.select("id", F.lit(0).cast("long").alias("n"))).groupBy("id").agg(F.sum("n").alias("n"))
+    stars = joined.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
+    final = connected_components(stars.union(_equal_ids(nodes, linkable)))
     labels = (nodes.select("digest", F.col("node").alias("id"), "copies").join(final, "id", "left").join(links, "id", "left")
               .select("digest", F.coalesce("component", "id").alias("class_id"),
                       (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")))

@@ -523,3 +523,41 @@ def test_merged_spans():
     assert (row.tolist(), start.tolist(), end.tolist()) == ([0, 0, 2], [0, 5, 10], [4, 10, 15])
     none = suffix_dedup.merged_spans(np.empty(0, np.int64), np.empty(0, np.int64), np.array([0, 4]))
     assert all(len(x) == 0 for x in none)
+
+
+def test_spanning_links_connect_alike():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        hit = rng.random((int(rng.integers(1, 14)), int(rng.integers(1, 14)))) < rng.choice([0.05, 0.2, 0.8])
+        i, j = jaccard_join.spanning_links(hit)
+        n = sum(hit.shape)
+        assert hit[i, j].all() and len(i) <= n
+
+        def parts(pairs, rows=hit.shape[0], n=n):
+            up = list(range(n))
+            for _ in range(n):
+                for a, b in pairs:
+                    up[a] = up[rows + b] = min(up[a], up[rows + b])
+            return up
+
+        assert parts(list(zip(i, j))) == parts(list(zip(*np.nonzero(hit))))
+
+
+def test_near_copies_of_an_absent_text(spark):
+    """Copies that each differ from one text, which is not there: no hub is near all of them."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for k in rng.sample(range(0, 120, 6), 2):
+            words[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(words), "en", "s"))
+    grams = [{tuple(t.split()[k: k + 5]) for k in range(116)} for _, t, _, _ in rows]
+    near = [[j for j in range(40) if j != i and len(grams[i] & grams[j]) / len(grams[i] | grams[j]) >= 0.8] for i in range(40)]
+    got = {r.id: r for r in jaccard_join.jaccard_join(documents(spark, rows)).collect()}
+    assert [got[i].n_links for i in range(40)] == [len(x) for x in near]
+    low = list(range(40))
+    for _ in range(40):
+        low = [min([low[i], *(low[j] for j in near[i])]) for i in range(40)]
+    assert [got[i].class_id for i in range(40)] == low
