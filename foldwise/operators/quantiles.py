@@ -3,56 +3,49 @@
 Spark's exact ``percentile``/``median`` keep a value->count map per group and
 merge it in a single task, which does not survive a continuous column at
 scale; ``percentile_approx`` is bounded but not exact.  This operator finds
-the exact k-th value by radix selection:
-
-* every value is mapped to an order-preserving signed 64-bit key
-  (``sortable_key``, pure SQL arithmetic, stays in codegen);
-* four passes, each a partial-aggregated histogram of the next 16 key bits
-  among the rows whose higher bits equal the current prefix of some target;
-* after each pass a window over at most 65,536 digit rows per target picks
-  the digit that holds the wanted rank.
+the exact k-th value by radix selection on the wide table:
+
+* every value is mapped to an order-preserving signed 64-bit key, its bits
+  (numpy, per Arrow batch);
+* a pass counts the next 16 bits of the keys whose higher bits equal the current
+  prefix of some target, for all features and folds at once; tasks add up their
+  rows and emit only counts, which a shuffle adds over the table;
+* after each pass a window over the digits of a target picks the digit that
+  holds the wanted rank.  As soon as no wanted prefix holds more values than a
+  window may have rows (65,536), the last pass counts whole keys instead of
+  digits and ends the search: two or three passes at most sizes.
 
 Per-fold complements ("all rows with fold <> f") come from one histogram
 grouped by fold: the complement count is the total minus the fold's own.
-Only O(#features x #scopes x #ranks) rows ever reach the driver.
-
-The first pass counts the values of every (feature, scope).  When every
-such group is provably small (<= ``spark.foldwise.exactQuantile.inMemoryLimit``
-values, default 1,000,000) one ``percentile`` aggregate finishes the job
-exactly; above the limit the radix selection runs.  ``method`` forces one.
+Only O(#features x #scopes x #ranks) rows ever reach the driver.  Nothing is
+persisted and no long form exists; a pass reads the columns it needs, so a caller
+whose input is expensive to compute writes it first.
 """
 
 from __future__ import annotations
 
 import math
 import struct
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
-from pyspark import StorageLevel
+
+from foldwise.session import cut_lineage
 
 ALL = -1  # scope id meaning "every row"
 _DIGIT_BITS = 16
-_PASSES = 64 // _DIGIT_BITS
+#: rows of a window over the digits of one target at most, and so values that the last pass takes apart
+WINDOW_ROWS = 1 << _DIGIT_BITS
+_HIST = "feature int, prefix long, fold int, digit long, cnt long"
 
 
-def sortable_key(x: Column) -> Column:
-    """Signed long whose order equals the order of the (finite, non-NULL) double x.
-
-    Equal to the IEEE-754 bit pattern for x >= 0 and to ~bits(|x|) for x < 0.
-    The exponent comes from log2 with a one-step correction, the mantissa from
-    an exact division by a power of two."""
-    a = F.abs(x)
-    e0 = F.floor(F.log2(a)).cast("int")
-    e1 = F.when(a / F.pow(F.lit(2.0), e0) >= 2.0, e0 + 1).when(a / F.pow(F.lit(2.0), e0) < 1.0, e0 - 1).otherwise(e0)
-    normal_bits = (e1 + 1023).cast("long") * F.lit(1 << 52) + (
-        (a / F.pow(F.lit(2.0), e1) - 1.0) * F.lit(float(1 << 52))
-    ).cast("long")
-    sub_bits = (a / F.lit(2.0 ** -1074)).cast("long")
-    bits = F.when(a == 0.0, F.lit(0).cast("long")).when(e1 < -1022, sub_bits).otherwise(normal_bits)
-    return F.when(x >= 0.0, bits).otherwise(-bits - 1)
+def sortable_keys(x: np.ndarray) -> np.ndarray:
+    """Signed longs in the order of the finite doubles x (-0.0 counts as 0.0)."""
+    bits = (x + 0.0).view(np.int64)
+    return np.where(bits >= 0, bits, ~(bits & np.int64(0x7FFFFFFFFFFFFFFF)))
 
 
 def key_to_double(key: int) -> float:
@@ -77,81 +70,72 @@ def long_form(df: DataFrame, cols: Sequence[str], fold_col: str | None = None) -
     )
 
 
-def _scope_counts(long_df: DataFrame, folds: Sequence[int] | None) -> dict[tuple[str, int], int]:
-    rows = long_df.groupBy("feature", "fold").agg(F.count(F.lit(1)).alias("n")).collect()
-    tot: dict[str, int] = {}
-    own: dict[tuple[str, int], int] = {}
-    for r in rows:
-        tot[r.feature] = tot.get(r.feature, 0) + r.n
-        own[(r.feature, r.fold)] = r.n
-    out = {(f, ALL): n for f, n in tot.items()}
-    for f, n in tot.items():
-        for k in folds or ():
-            out[(f, k)] = n - own.get((f, k), 0)
-    return out
-
+def _digit_counts(wide: DataFrame, width: int, known: int, prefixes: dict[int, np.ndarray], whole: bool) -> DataFrame:
+    """(feature, prefix, fold, digit, cnt) of the values whose first ``known`` bits are one of the feature's prefixes;
+    digits are the next 16 bits, or with ``whole`` all bits of the key."""
 
-def select_ranks(long_df: DataFrame, targets: dict[tuple[str, int, int], None] | Sequence[tuple[str, int, int]]) -> dict[tuple[str, int, int], float]:
-    """Exact value of rank r (0-based, ascending) for each (feature, scope, r).
-
-    ``long_df`` has columns (feature, fold, value) with no NULL values.  Scope
-    ALL counts every row, scope f counts rows with fold <> f."""
-    # state per target: (feature, scope, rank) -> [prefix, remaining rank]
-    state = {t: [0, t[2]] for t in targets}
-    if not state:
-        return {}
-    # the key is computed once and kept for the four passes: recomputed per
-    # pass, the float arithmetic also lands in the join key and the digit and
-    # costs several times the histogram itself
-    keyed = long_df.select("feature", "fold", sortable_key(F.col("value") + F.lit(0.0)).alias("key"))
-    keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _radix_passes(keyed, state)
-    finally:
-        keyed.unpersist()
-    return {t: key_to_double(st[0]) for t, st in state.items()}
-
-
-def _radix_passes(keyed: DataFrame, state: dict[tuple[str, int, int], list[int]]) -> None:
-    spark = keyed.sparkSession
-    for p in range(1, _PASSES + 1):
-        shift = 64 - _DIGIT_BITS * p
-        if p == 1:
-            prefix = F.lit(0).cast("long")
-            digit = F.shiftright(F.col("key"), shift)
-        else:
-            prefix = F.shiftright(F.col("key"), shift + _DIGIT_BITS)
-            digit = F.shiftright(F.col("key"), shift).bitwiseAND(F.lit((1 << _DIGIT_BITS) - 1))
-        tgt_rows = [(f, s, r, st[0], st[1]) for (f, s, r), st in state.items()]
-        tgt = spark.createDataFrame(tgt_rows, "feature string, scope int, rank long, prefix long, rem long")
-        wanted = spark.createDataFrame(sorted({(f, st[0]) for (f, _s, _r), st in state.items()}), "feature string, prefix long")
-        scope_ids = sorted({s for (_f, s, _r) in state})
-        hist = (
-            keyed.select("feature", "fold", prefix.alias("prefix"), digit.alias("digit"))
-            .join(F.broadcast(wanted), ["feature", "prefix"], "left_semi")
-            .groupBy("feature", "prefix", "fold", "digit")
-            .agg(F.count(F.lit(1)).alias("cnt"))
-        )
-        # every histogram row counts for scope ALL and for each scope f that is
-        # not its own fold: explode the (small) histogram into its scopes
-        scopes = F.filter(F.array(*[F.lit(x) for x in scope_ids]), lambda x: (x == F.lit(ALL)) | (x != F.col("fold")))
-        in_scope = (
-            hist.select("feature", "prefix", "digit", "cnt", F.explode(scopes).alias("scope"))
-            .groupBy("feature", "prefix", "scope", "digit")
-            .agg(F.sum("cnt").alias("cnt"))
-        )
-        w = Window.partitionBy("feature", "scope", "rank").orderBy("digit")
-        picked = (
-            in_scope.join(F.broadcast(tgt), ["feature", "prefix", "scope"])
-            .withColumn("cum", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .filter((F.col("cum") - F.col("cnt") <= F.col("rem")) & (F.col("rem") < F.col("cum")))
-            .select("feature", "scope", "rank", "digit", (F.col("rem") - (F.col("cum") - F.col("cnt"))).alias("rem2"))
-            .collect()
-        )
-        for r in picked:
-            st = state[(r.feature, r.scope, r.rank)]
-            st[0] = r.digit if p == 1 else (st[0] << _DIGIT_BITS) | r.digit
-            st[1] = r.rem2
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int, int], dict[int, int]] = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            folds = b["fold"].to_numpy(zero_copy_only=False).astype(np.int64)
+            for j in range(width):
+                if j not in prefixes:
+                    continue
+                x = b[f"x{j}"].to_numpy(zero_copy_only=False).astype(np.float64)
+                here = ~np.isnan(x)
+                key, fold = sortable_keys(x[here]), folds[here]
+                if known:
+                    prefix = key >> (64 - known)
+                    at = np.minimum(np.searchsorted(prefixes[j], prefix), len(prefixes[j]) - 1)
+                    hit = prefixes[j][at] == prefix
+                    key, fold, prefix = key[hit], fold[hit], prefix[hit]
+                else:
+                    prefix = np.zeros(len(key), np.int64)
+                digit = key if whole else (key >> (64 - _DIGIT_BITS - known)) & ((1 << _DIGIT_BITS) - 1) if known else key >> (64 - _DIGIT_BITS)
+                order = np.lexsort((digit, fold, prefix))
+                rows = np.stack([prefix[order], fold[order], digit[order]])
+                first = np.flatnonzero(np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(axis=0)])) if len(order) else np.empty(0, np.int64)
+                times = np.diff(np.concatenate([first, [len(order)]]))
+                for p, f, d, n in zip(*rows[:, first].tolist(), times.tolist(), strict=True):
+                    mine = sums.setdefault((j, p, f), {})
+                    mine[d] = mine.get(d, 0) + n
+        for (j, p, f), digits in sums.items():
+            n = len(digits)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, j, np.int32)), pa.array(np.full(n, p, np.int64)), pa.array(np.full(n, f, np.int32)),
+                 pa.array(list(digits), pa.int64()), pa.array(list(digits.values()), pa.int64())], names=["feature", "prefix", "fold", "digit", "cnt"])
+
+    return wide.mapInArrow(run, _HIST).groupBy("feature", "prefix", "fold", "digit").agg(F.sum("cnt").alias("cnt"))
+
+
+def _pick(hist: DataFrame, state: dict[tuple[int, int, int], list[int]], whole: bool) -> int:
+    """Advance every target (feature, scope, rank): [prefix, remaining rank, values with that prefix]; the largest number of values left."""
+    spark = hist.sparkSession
+    tgt = spark.createDataFrame([(f, s, r, st[0], st[1]) for (f, s, r), st in state.items()],
+                                "feature int, scope int, rank long, prefix long, rem long")
+    # every histogram row counts for scope ALL and for each scope f that is
+    # not its own fold: explode the (small) histogram into its scopes
+    scopes = F.filter(F.array(*[F.lit(x) for x in sorted({s for (_f, s, _r) in state})]), lambda x: (x == F.lit(ALL)) | (x != F.col("fold")))
+    in_scope = (
+        hist.select("feature", "prefix", "digit", "cnt", F.explode(scopes).alias("scope"))
+        .groupBy("feature", "prefix", "scope", "digit")
+        .agg(F.sum("cnt").alias("cnt"))
+    )
+    w = Window.partitionBy("feature", "scope", "rank").orderBy("digit")
+    picked = (
+        in_scope.join(F.broadcast(tgt), ["feature", "prefix", "scope"])
+        .withColumn("cum", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .filter((F.col("cum") - F.col("cnt") <= F.col("rem")) & (F.col("rem") < F.col("cum")))
+        .select("feature", "scope", "rank", "digit", "cnt", (F.col("rem") - (F.col("cum") - F.col("cnt"))).alias("rem2"))
+        .collect()
+    )
+    for r in picked:
+        st = state[(r.feature, r.scope, r["rank"])]
+        st[0] = r.digit if whole or st[2] < 0 else (st[0] << _DIGIT_BITS) | r.digit
+        st[1], st[2] = r.rem2, r.cnt
+    return max((st[2] for st in state.values()), default=0)
 
 
 def quantiles(
@@ -162,74 +146,51 @@ def quantiles(
     fold_col: str | None = None,
     folds: Sequence[int] | None = None,
     include_all: bool = True,
-    method: str = "auto",
+    window_rows: int = WINDOW_ROWS,
 ) -> dict[tuple[str, int, float], float | None]:
     """Exact linear-interpolation quantiles (pandas / DuckDB ``quantile_cont``).
 
     Returns {(column, scope, prob): value}; scope ALL = every row, scope f =
     rows whose ``fold_col`` differs from f.  NULLs are skipped; an empty scope
-    yields None."""
-    # the long table is scanned once for counts and once per radix pass: keep
-    # it on the executors (memory, spilling to disk; lost blocks are recomputed
-    # from lineage) instead of re-running the upstream plan five times
-    long_df = long_form(df, cols, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _quantiles(long_df, cols, probs, fold_col, folds, include_all, method)
-    finally:
-        long_df.unpersist()
-
-
-IN_MEMORY_LIMIT_CONF = "spark.foldwise.exactQuantile.inMemoryLimit"
-DEFAULT_IN_MEMORY_LIMIT = 1_000_000
-
-
-def _in_memory(long_df, cols, probs, scopes) -> dict[tuple[str, int, float], float | None]:
-    """Exact quantiles with Spark's ``percentile`` aggregate, one job for every
-    scope: used only when the count pass proved each (feature, scope) group
-    holds at most the configured number of values."""
-    aggs = []
-    for s in scopes:
-        v = F.col("value") if s == ALL else F.when(F.col("fold") != s, F.col("value"))
-        aggs.append(F.percentile(v, F.array(*[F.lit(float(q)) for q in probs])).alias(f"s{s + 1}"))
-    rows = long_df.groupBy("feature").agg(*aggs).collect()
-    out = {}
-    for r in rows:
-        for s in scopes:
-            vals = r[f"s{s + 1}"]
-            for i, q in enumerate(probs):
-                out[(r.feature, s, q)] = None if vals is None else float(vals[i])
-    return {(c, s, q): out.get((c, s, q)) for c in cols for s in scopes for q in probs}
-
-
-def _quantiles(long_df, cols, probs, fold_col, folds, include_all, method: str = "auto"):
-    counts = _scope_counts(long_df, folds if fold_col else None)
+    yields None.  ``window_rows``: values that the last pass takes apart."""
+    cols = list(cols)
     scopes = ([ALL] if include_all else []) + list(folds or [])
-    limit = int(long_df.sparkSession.conf.get(IN_MEMORY_LIMIT_CONF, str(DEFAULT_IN_MEMORY_LIMIT)))
-    largest = max(counts.values(), default=0)
-    if method == "in_memory" or (method == "auto" and largest <= limit):
-        return _in_memory(long_df, cols, probs, scopes)
-    targets: dict[tuple[str, int, int], None] = {}
-    plan: dict[tuple[str, int, float], tuple[int, int, float] | None] = {}
-    for c in cols:
+    fold = F.coalesce(F.col(fold_col).cast("int"), F.lit(-(1 << 30))) if fold_col else F.lit(0)
+    wide = df.select(fold.alias("fold"), *[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(cols)])
+    # the first histogram also tells how many values each scope has
+    first = cut_lineage(_digit_counts(wide, len(cols), 0, {j: np.zeros(1, np.int64) for j in range(len(cols))}, False))
+    own: dict[int, dict[int, int]] = {}
+    for r in first.groupBy("feature", "fold").agg(F.sum("cnt").alias("n")).collect():
+        own.setdefault(r.feature, {})[r.fold] = r.n
+    state: dict[tuple[int, int, int], list[int]] = {}
+    plan: dict[tuple[str, int, float], tuple[int, int, int, float] | None] = {}
+    for j, c in enumerate(cols):
         for s in scopes:
-            n = counts.get((c, s), 0)
+            n = sum(v for f, v in own.get(j, {}).items() if s == ALL or f != s)
             for q in probs:
                 if n == 0:
                     plan[(c, s, q)] = None
                     continue
                 pos = (n - 1) * q
                 lo, hi = math.floor(pos), math.ceil(pos)
-                plan[(c, s, q)] = (lo, hi, pos - lo)
-                targets[(c, s, lo)] = None
-                targets[(c, s, hi)] = None
-    values = select_ranks(long_df, list(targets))
+                plan[(c, s, q)] = (j, lo, hi, pos - lo)
+                state[(j, s, lo)], state[(j, s, hi)] = [0, lo, -1], [0, hi, -1]
+    if state:
+        left, known = _pick(first, state, False), _DIGIT_BITS
+        while known < 64:
+            whole = left <= window_rows
+            wanted: dict[int, set[int]] = {}
+            for (j, _s, _r), st in state.items():
+                wanted.setdefault(j, set()).add(st[0])
+            left = _pick(_digit_counts(wide, len(cols), known, {j: np.array(sorted(v), np.int64) for j, v in wanted.items()}, whole), state, whole)
+            known = 64 if whole else known + _DIGIT_BITS
     out: dict[tuple[str, int, float], float | None] = {}
     for (c, s, q), spec in plan.items():
         if spec is None:
             out[(c, s, q)] = None
             continue
-        lo, hi, frac = spec
-        a, b = values[(c, s, lo)], values[(c, s, hi)]
+        j, lo, hi, frac = spec
+        a, b = key_to_double(state[(j, s, lo)][0]), key_to_double(state[(j, s, hi)][0])
         out[(c, s, q)] = (a + b) / 2.0 if frac == 0.5 else a + (b - a) * frac
     return out
 
