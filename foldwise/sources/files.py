@@ -89,13 +89,13 @@ def load_test(spark: SparkSession, path: str) -> DataFrame:
 
 def with_row_index(df: DataFrame, id_col: str = "index") -> DataFrame:
     """P20: keep ``id_col`` when present, else number the rows 0..n-1 in scan
-    order with partition offsets (dense, unlike monotonically_increasing_id)."""
+    order with partition offsets (dense, unlike monotonically_increasing_id);
+    rows do not move."""
     if id_col in df.columns:
         return df
-    from foldwise.operators.numbering import rank_within
+    from foldwise.operators.numbering import number_rows
 
-    tagged = df.withColumn("__mono", F.monotonically_increasing_id())
-    return rank_within(tagged, ["__mono"], (), out=id_col).drop("__mono")
+    return number_rows(df, id_col)
 
 
 def feature_set_diff(a: DataFrame, b: DataFrame, exclude: Iterable[str] = ()) -> tuple[list[str], list[str]]:
