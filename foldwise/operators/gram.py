@@ -5,9 +5,10 @@ pair), the moment matrix  M = sum a a^T  of the augmented row vector
 
     a = [x - c (0 where NULL) | NULL indicators | 1 | y_1 .. y_T]
 
-computed per Arrow batch with numpy inside ``mapInArrow`` and summed with a
-partial-aggregated ``groupBy(cell, i, j)``.  Its size is (2p + 1 + T)^2 per
-cell, independent of the number of rows.  Because imputation with a median m
+computed per Arrow batch with numpy inside ``mapInArrow``, added up over the
+batches of a task (one packed triangle per task and cell leaves Python) and then
+over tasks in two steps.  Its size is (2p + 1 + T)^2 per cell, independent of the
+number of rows; the number of columns is checked, since all cells reach the driver.  Because imputation with a median m
 and standardisation are affine in ``a`` (x_imp - c = x0 + z (m - c)), the
 moments of the imputed, standardised features of *any* training set (a union
 of cells) follow on the driver by a matrix product; no per-fold
@@ -49,11 +50,20 @@ class Moments:
         return out
 
 
-def _batch_moments(p: int, t: int, centre: np.ndarray):
+#: bytes of all moment matrices that the driver takes
+DRIVER_BYTES = 1 << 30
+#: tasks whose matrices one task of the first step adds up
+FAN_IN = 32
+
+
+def _task_moments(p: int, t: int, centre: np.ndarray):
     m = 2 * p + 1 + t
     iu = np.triu_indices(m)
 
     def run(batches):
+        from pyspark import TaskContext
+
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
             cols = batch.columns
             cell = cols[0].to_numpy(zero_copy_only=False).astype(np.int64)
@@ -69,36 +79,55 @@ def _batch_moments(p: int, t: int, centre: np.ndarray):
             a[:, 2 * p] = 1.0
             for j in range(t):
                 a[:, 2 * p + 1 + j] = np.nan_to_num(cols[1 + p + j].to_numpy(zero_copy_only=False).astype(np.float64))
-            for c in np.unique(cell):
-                sub = a[cell == c]
-                mat = sub.T @ sub
-                k = len(iu[0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(k, c, dtype=np.int32)), pa.array(iu[0].astype(np.int32)),
-                     pa.array(iu[1].astype(np.int32)), pa.array(mat[iu])],
-                    names=["cell", "i", "j", "v"],
-                )
+            order = np.argsort(cell, kind="stable")
+            cell, a = cell[order], a[order]
+            cuts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]]))
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                c = int(cell[s])
+                mat = a[s:e].T @ a[s:e]
+                sums[c] = sums[c] + mat if c in sums else mat
+        part = TaskContext.get().partitionId()
+        for c, mat in sums.items():  # one at a time: a packed triangle may be large
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([part], pa.int32()), pa.array([mat[iu].tobytes()], pa.binary())],
+                                             names=["cell", "part", "m"])
 
     return run
 
 
+def _add_packed(t: pa.Table) -> pa.Table:
+    t = t.sort_by("part")
+    total = None
+    for x in t["m"]:
+        now = np.frombuffer(x.as_buffer(), np.float64)
+        total = now.copy() if total is None else total + now
+    return pa.table({"cell": t["cell"].slice(0, 1).combine_chunks(), "part": pa.array([t["part"][0].as_py() // FAN_IN], pa.int32()),
+                     "m": pa.array([total.tobytes()], pa.binary())})
+
+
 def moments(df: DataFrame, features: Sequence[str], targets: Sequence[str], cell: str | None,
             centre: Sequence[float]) -> Moments:
     """One pass: moment matrices per cell.  ``targets`` must already be in
-    training space (e.g. log1p) and non-NULL."""
+    training space (e.g. log1p) and non-NULL.
+
+    Raises if the matrices of all cells are more than DRIVER_BYTES together."""
     p, t = len(features), len(targets)
     cell_col = F.col(cell).cast("int") if cell else F.lit(0)
     src = df.select(cell_col.alias("cell"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
                     *[F.col(c).cast("double").alias(f"y{i}") for i, c in enumerate(targets)])
-    parts = src.mapInArrow(_batch_moments(p, t, np.asarray(centre, dtype=np.float64)),
-                           "cell int, i int, j int, v double")
-    rows = parts.groupBy("cell", "i", "j").agg(F.sum("v").alias("v")).collect()
-    m = 2 * p + 1 + t
+    schema, m = "cell int, part int, m binary", 2 * p + 1 + t
+    if 8 * m * m > DRIVER_BYTES:
+        raise ValueError(f"{p} columns: a moment matrix of {8 * m * m} bytes is more than {DRIVER_BYTES}")
+    parts = src.mapInArrow(_task_moments(p, t, np.asarray(centre, dtype=np.float64)), schema)
+    some = parts.groupBy("cell", F.floor(F.col("part") / FAN_IN)).applyInArrow(_add_packed, schema)
+    whole = some.groupBy("cell").applyInArrow(_add_packed, schema)
+    iu = np.triu_indices(m)
     cells: dict[int, np.ndarray] = {}
-    for r in rows:
-        mat = cells.setdefault(r.cell, np.zeros((m, m)))
-        mat[r.i, r.j] = r.v
-        mat[r.j, r.i] = r.v
+    for r in whole.select("cell", "m").toLocalIterator():
+        if 8 * m * m * (len(cells) + 1) > DRIVER_BYTES:
+            raise ValueError(f"{p} columns in more than {len(cells)} cells: moment matrices of more than {DRIVER_BYTES} bytes")
+        mat = np.zeros((m, m))
+        mat[iu] = np.frombuffer(r.m, np.float64)
+        cells[r.cell] = mat + np.triu(mat, 1).T
     return Moments(p, t, cells)
 
 

@@ -158,10 +158,10 @@ _EMB_DIMS = 64
 
 
 def _corr_wide_sql() -> str:
-    cols = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(_EMB_DIMS))
-    parts = [f"SELECT 'e{i}' AS a, 'e{j}' AS b, {sql_sig(f'corr(e{i}, e{j})', 7)} AS corr FROM w"
-             for i in range(_EMB_DIMS) for j in range(i + 1, _EMB_DIMS)]
-    return f"WITH w AS (SELECT {cols} FROM embeddings)\n" + "\nUNION ALL\n".join(parts)
+    # the dimensions as rows, joined to themselves on the vector
+    return f"""WITH w AS (SELECT vec_id, unnest(range({_EMB_DIMS})) AS d, unnest(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS v FROM embeddings)
+SELECT 'e' || l.d AS a, 'e' || r.d AS b, {sql_sig('corr(l.v, r.v)', 7)} AS corr
+FROM w l JOIN w r ON l.vec_id = r.vec_id AND l.d < r.d GROUP BY l.d, r.d"""
 
 
 @register("corr_wide", _corr_wide_sql())
