@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.common import checkpoint
-from foldwise.llm.graph import connected_components, in_blocks, map_groups
+from foldwise.llm.graph import connected_components, in_blocks, map_groups, shared_counts
 
 MIN_COSINE = 0.98
 BLOCKS = 3
@@ -144,7 +144,8 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     with a NULL label or id, and vectors that are NULL, empty, zero or hold NULL
     or non-finite components, link with nothing; vectors of different lengths
     are never compared; rows that repeat an id are vectors of their own that
-    share a component; other columns are not read."""
+    share a component; other columns are not read; an empty table gives an empty
+    result."""
     v = F.col("v")
     kind = "float" if vectors.select(f"`{vector}`").dtypes[0][1] == "array<float>" else "double"
     rows = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast(f"array<{kind}>").alias("v"),
@@ -190,19 +191,19 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
         left, right = np.flatnonzero(b == bi), np.flatnonzero(b == bj)
         unit = _unit(_matrix(t["v"]))
         node, copies, here = t["node"].to_numpy(), t["copies"].to_numpy(), t["f"][0].as_py()
-        i, j = np.nonzero(unit[left] @ unit[right].T >= min_cosine)
-        i, j = left[i], right[j]
-        once = node[i] < node[j] if bi == bj else node[i] != node[j]
-        i, j = i[once], j[once]
-        if not len(i):
+        hit = unit[left] @ unit[right].T >= min_cosine
+        hit &= node[left][:, None] < node[right][None, :] if bi == bj else node[left][:, None] != node[right][None, :]
+        if not hit.any():
             return None
         lists = t["filters"].combine_chunks()
         flat, off = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        first = np.ones(len(i), bool)  # no common direction before this one
-        earlier = [set(flat[off[x]: off[x + 1]][flat[off[x]: off[x + 1]] < here].tolist()) for x in range(len(node))]
-        for k, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
-            first[k] = earlier[x].isdisjoint(earlier[y])
-        i, j = i[first], j[first]
+        earlier = [flat[s:e][flat[s:e] < here] for s, e in zip(off[:-1], off[1:], strict=True)]
+        # a pair counts in the first of its common directions: those that share an earlier one are left out
+        rows, columns = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+        again = shared_counts([earlier[x] for x in left[rows]], [earlier[x] for x in right[columns]]) > 0
+        hit[np.ix_(rows, columns)] &= ~again
+        i, j = np.nonzero(hit)
+        i, j = left[i], right[j]
         if not len(i):
             return None
         ids = np.concatenate([node[i], node[j]])
@@ -216,7 +217,11 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     found = checkpoint(map_groups(meet, ["bucket", "bi", "bj"], compare, "a long, b long, n long"))
     links = found.where("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     edges = found.where("b IS NOT NULL").select("a", "b")
-    reached = connected_components(edges)
+    # vectors that share an id share a component: edges between their nodes
+    several = members.groupBy("id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("id")
+    places = members.join(several, "id", "left_semi").distinct().join(nodes.select("cls", "node"), "cls")
+    same_id = places.join(places.groupBy("id").agg(F.min("node").alias("a")), "id").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    reached = connected_components(edges.union(same_id))
     by_class = (nodes.select("node", "cls", "copies").join(reached.withColumnRenamed("id", "node"), "node", "left")
                 .join(links, "node", "left")
                 .select("cls", F.coalesce("component", "node").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")))

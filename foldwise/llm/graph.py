@@ -58,6 +58,27 @@ def in_blocks(rows: DataFrame, key: str, member: str, block: int = BLOCK) -> Dat
     return dealt.withColumn("pair", F.explode(pairs)).select("*", "pair.bi", "pair.bj").drop("pair", "nb")
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many values each array of ``left`` shares with each of ``right`` (values are distinct inside an array): matrix products, columns in blocks."""
+    both = np.zeros((len(left), len(right)), np.float32)
+    if not left or not right:
+        return both
+    values = np.concatenate([*left, *right])
+    row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in [*left, *right]])
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    column = column.reshape(-1)
+    often = times[column] > 1
+    row, column = row[often], (np.cumsum(times > 1) - 1)[column[often]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, int((times > 1).sum()), width):
+        a, b = np.searchsorted(column, [start, start + width])
+        m = np.zeros((len(left) + len(right), width), np.float32)
+        m[row[a:b], column[a:b] - start] = 1
+        both += m[: len(left)] @ m[len(left):].T
+    return both
+
+
 def map_groups(rows: DataFrame, keys: Sequence[str], work: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:
     """Hand each group of equal (integer) ``keys`` to ``work`` as one table.
 

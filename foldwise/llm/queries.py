@@ -153,19 +153,21 @@ def op7_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _OP7_SQL = """
-    WITH RECURSIVE v AS (
-        SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+    WITH RECURSIVE t AS (SELECT *, row_number() OVER () AS rid FROM embeddings),
+    v AS (
+        SELECT rid, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM t
         WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
           AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    l AS (SELECT a.rid AS a, b.rid AS b FROM v a JOIN v b ON a.label = b.label AND a.rid <> b.rid
           WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
-    r AS (SELECT a, b AS c FROM l UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.c),
+    s AS (SELECT a, b FROM l UNION SELECT a.rid, b.rid FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.rid <> b.rid),
+    r AS (SELECT a, b AS c FROM s UNION SELECT r.a, s.b FROM r JOIN s ON s.a = r.c),
     n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
-    m AS (SELECT a, min(c) AS low FROM r GROUP BY a)
+    m AS (SELECT r.a, min(v.vec_id) AS low FROM r JOIN v ON v.rid = r.c GROUP BY r.a)
     SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
            coalesce(vec_id = least(vec_id, coalesce(low, vec_id)), true) AS kept
-    FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.a = vec_id"""
+    FROM t LEFT JOIN n ON n.a = t.rid LEFT JOIN m ON m.a = t.rid"""
 
 
 # ---------------------------------------------------------------- 8

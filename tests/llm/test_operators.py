@@ -561,3 +561,29 @@ def test_near_copies_of_an_absent_text(spark):
     for _ in range(40):
         low = [min([low[i], *(low[j] for j in near[i])]) for i in range(40)]
     assert [got[i].class_id for i in range(40)] == low
+
+
+def test_vectors_that_share_an_id(spark):
+    """Ids on different vectors tie components; dense clusters; an empty table; extra columns; against the SQL twin."""
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=8)
+    rows = [(i, (centre + 0.02 * rng.normal(size=8)).tolist(), 1) for i in range(150)]
+    rows += [(200, rng.normal(size=8).tolist(), 1), (201, rng.normal(size=8).tolist(), 1)]
+    rows += [(200, rows[3][1], 1), (201, rows[150][1], 1), (5, rng.normal(size=8).tolist(), 2), (300, [0.0] * 8, 1), (300, None, 2), (7, rows[7][1], 1)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, label int, cls string, node int")
+    got = sorted((r.id, r.n_links, r.component_id, r.kept) for r in cap_filters.near_vectors(df).collect())
+    import pandas as pd
+
+    embeddings = pd.DataFrame({"vec_id": [r[0] for r in rows], "embedding": [r[1] for r in rows], "label": [r[2] for r in rows]})  # noqa: F841
+    want = sorted(tuple(r) for r in duckdb.sql(queries._OP7_SQL).fetchall())
+    assert got == want
+    assert {r[2] for r in got if r[0] in (200, 201)} == {0} and {r[2] for r in got if r[0] == 5} == {0}
+    assert cap_filters.near_vectors(df.where("vec_id < 0")).count() == 0
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, int(rng.integers(0, 20)))) for _ in range(25)]
+    got = graph.shared_counts(sets[:10], sets[10:], width=16)
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[10:]] for a in sets[:10]]
+    assert graph.shared_counts([], sets).shape == (0, 25)
