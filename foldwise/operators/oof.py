@@ -352,6 +352,43 @@ def tree_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str
     return tree_oof_specs(df, features, targets, per_fold, cfg, specs_of(names, cfg))
 
 
+def fit_estimators(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]], model: PrepModel,
+                   estimators: dict[str, object]) -> dict[tuple[str, str], object]:
+    """A caller's ``pyspark.ml`` regressors, each fitted on all rows of ``df`` for each target (training space, imputed columns)."""
+    vec = _to_vector(_imputed_vector(features, model))
+    out = {}
+    for name, use_log in targets:
+        framed = df.select(log_target(name, use_log).alias("__y"), vec.alias("__v"))
+        for m, est in estimators.items():
+            out[(name, m)] = est.copy({est.getParam("featuresCol"): "__v", est.getParam("labelCol"): "__y"}).fit(framed)
+    return out
+
+
+def score_estimators(df: DataFrame, features: Sequence[str], model: PrepModel, fitted: dict[tuple[str, str], object],
+                     prefix: str = "__est") -> tuple[DataFrame, dict[tuple[str, str], str]]:
+    """``df`` with one raw prediction column per fitted model, and the columns' names: rows do not move."""
+    scored, names = df.withColumn("__v", _to_vector(_imputed_vector(features, model))), {}
+    for i, (pair, fit) in enumerate(fitted.items()):
+        names[pair] = f"{prefix}{i}"
+        scored = fit.copy({fit.getParam("predictionCol"): names[pair]}).transform(scored)
+    return scored.select(*df.columns, *names.values()), names
+
+
+def estimator_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]], per_fold: dict[int, PrepModel],
+                  cfg: OOFConfig, estimators: dict[str, object]) -> DataFrame:
+    """OOF predictions of a caller's estimators: every fold's rows are read once and scored by all of its models."""
+    logs, out = dict(targets), None
+    for f in sorted(per_fold):
+        fitted = fit_estimators(df.filter(F.col("fold") != f), features, targets, per_fold[f], estimators)
+        scored, names = score_estimators(df.filter(F.col("fold") == f), features, per_fold[f], fitted)
+        cells = [F.struct(F.lit(t).alias("target"), F.lit(m).alias("model"), F.col(t).cast("double").alias("y"),
+                          _inverse(F.col(c), logs[t], cfg.inverse).alias("pred")) for (t, m), c in names.items()]
+        part = scored.select(ID, F.explode(F.array(*cells)).alias("__x")).select(
+            ID, "__x.target", "__x.model", F.lit(f).alias("fold"), "__x.y", "__x.pred")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def collect_oof(df: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, bool]], full: PrepModel,
                 per_fold: dict[int, PrepModel], cfg: OOFConfig) -> tuple[DataFrame, list[LinearFit], list[float]]:
     """The long OOF table of every requested candidate."""

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.operators import models
 from foldwise.operators.oof import _augmented, dot
 from foldwise.plans.train import TrainResult, derive, postprocess
 from foldwise.functions.exprs import inverse_plain
@@ -23,11 +22,11 @@ def _lit_array(values) -> Column:
 
 def score_stream(result: TrainResult, stream: DataFrame) -> DataFrame:
     cfg = result.cfg
-    if result.final_trees:
+    if result.final_trees or result.extra:
         raise ValueError("streaming scoring supports the linear candidates (trees need a batch transform)")
     df = derive(stream, cfg)
     a = _augmented(result.features, result.centre)
-    names = [m for m in models.CANDIDATES if m in cfg.candidates]
+    names = result.names
     logs = dict(cfg.targets)
     cols = {}
     for t, _ in cfg.targets:

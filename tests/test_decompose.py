@@ -36,8 +36,7 @@ def test_pca_equals_numpy_and_survives_saving(spark, data, tmp_path):
         assert np.allclose(np.abs(got[f"pc{k + 1}"]), np.abs(want[:, k]), atol=1e-6)
     assert sum(model.explained()) == pytest.approx(1)
     with pytest.raises(ValueError, match="there already"):
-        model.transform(got_frame := df.withColumnRenamed("note", "pc1"), 2)
-        assert got_frame
+        model.transform(df.withColumnRenamed("note", "pc1"), 2)
 
 
 def test_ica_finds_the_sources(spark, data, tmp_path):
