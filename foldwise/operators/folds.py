@@ -170,9 +170,13 @@ class ClusterFoldResult:
     n_clusters: int
 
 
-def cluster_features(df: DataFrame, preferred: Sequence[str], numeric: Sequence[str]) -> list[str]:
+def cluster_features(df: DataFrame, preferred: Sequence[str], numeric: Sequence[str], most: int = 10) -> list[str]:
+    """The preferred columns that are there (two or more), else the first ``most`` numeric ones, with a warning that names them."""
     present = [c for c in preferred if c in df.columns]
-    return present if len(present) >= 2 else list(numeric[:10])
+    if len(present) >= 2:
+        return present
+    log.warning("clusters are built on %s: fewer than two of %s are there", list(numeric[:most]), list(preferred))
+    return list(numeric[:most])
 
 
 def cluster_kfold(df: DataFrame, features: Sequence[str], k: int = DEFAULT_FOLDS, n_clusters: int = 5,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.operators import blend, diagnose, profile
 from foldwise.plans.core_queries import FEATURES, _cte, _final_sql, _oof_sql, assay_features, assay_oof, blended_predictions
 from foldwise.plans.registry import register
+from foldwise.session import ensure_checkpoint_dir
 from foldwise.plans.rounding import sig, sql_sig
 from foldwise.sources import views
 from foldwise.sources.views import BINARY_SQL, ID, TARGETS
@@ -141,20 +144,23 @@ def output_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnose.output_contract(fin, [ID, *TARGETS])
 
 
+def _session_of(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session of the same application with another number of shuffle partitions; the caller's keeps its own."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return other
+
+
 @register("submission_diff", f"""WITH {_final_sql()}
 SELECT CAST(count(*) AS BIGINT) AS n_keys, CAST(0 AS BIGINT) AS n_unmatched, CAST(0.0 AS DOUBLE) AS max_abs_diff, true AS stable FROM fin""")
 def submission_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J5 + D10: the same program run twice on differently partitioned input;
     cell-by-cell full-outer diff; stable when the largest difference < 1e-6."""
     a = blended_predictions(spark, sf_dir)
-    prev = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "3")
-        from foldwise.session import cut_lineage
-
-        b = cut_lineage(blended_predictions(spark, sf_dir))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    b = blended_predictions(_session_of(spark, 3), sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/second-run-{uuid.uuid4().hex[:12]}"
+    b.write.parquet(path)
+    b = spark.read.parquet(path)
     d = diagnose.submission_diff(a, b, ["p1", "p2", "p3"])
     return d.select("n_keys", "n_unmatched", F.round("max_abs_diff", 6).alias("max_abs_diff"),
                     (F.col("max_abs_diff") < 1e-6).alias("stable"))
@@ -180,18 +186,13 @@ SELECT true AS within_tolerance, CAST(24 AS BIGINT) AS n_stats""")
 def fingerprint_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Describe statistics of a second run (other partitioning) within
     max(0.01, 5 %) of the first run's stored statistics."""
-    def stats(parts: str):
-        prev = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
-        try:
-            fin = blended_predictions(spark, sf_dir).select(F.col("p1").alias("t1"), F.col("p2").alias("t2"), F.col("p3").alias("t3"))
-            d = profile.describe(fin, list(TARGETS)).collect()
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", prev)
+    def stats(parts: int):
+        fin = blended_predictions(_session_of(spark, parts), sf_dir).select(F.col("p1").alias("t1"), F.col("p2").alias("t2"), F.col("p3").alias("t3"))
+        d = profile.describe(fin, list(TARGETS)).collect()
         return [(r.feature, s, float(r[s])) for r in d for s in ("count", "mean", "std", "min", "q25", "q50", "q75", "max")]
 
     schema = "target string, stat string, value double"
-    return diagnose.fingerprint_compare(spark.createDataFrame(stats("3"), schema), spark.createDataFrame(stats("8"), schema))
+    return diagnose.fingerprint_compare(spark.createDataFrame(stats(3), schema), spark.createDataFrame(stats(8), schema))
 
 
 @register("eda_summary")
