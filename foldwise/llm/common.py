@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -67,6 +69,19 @@ def bound_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last one, memory that this Python worker has freed returns to the system.
+
+    Workers are used again by later tasks of any kind, and allocators keep what
+    large arrays have left behind."""
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def byte_chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[slice]:
     """Consecutive slices of a binary array of at most ``most`` bytes (or one value)."""
     start = size = 0

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.llm.common import bound_batches, byte_chunks
+from foldwise.llm.common import bound_batches, byte_chunks, give_back
 
 DIMENSIONS = 1024
 N = 3
@@ -123,7 +123,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", n: int =
             yield pa.RecordBatch.from_arrays([pa.array([name] * dims), pa.array(np.arange(dims, dtype=np.int32)),
                                               pa.array(v.astype(np.int64))], names=["lang", "dim", "s"])
 
-    sums = rows.mapInArrow(partial, "lang string, dim int, s long").groupBy("lang", "dim").agg(F.sum("s").alias("s"))
+    sums = rows.mapInArrow(lambda b: give_back(partial(b)), "lang string, dim int, s long").groupBy("lang", "dim").agg(F.sum("s").alias("s"))
     by_lang = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("dim", "s")))["s"].alias("v"))
     got = by_lang.limit(MAX_LANGUAGES + 1).collect()
     if len(got) > MAX_LANGUAGES:
@@ -160,4 +160,4 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[Colum
             yield pa.RecordBatch.from_arrays([b.column("rec"), pa.array(langs, pa.string()), pa.array(scores)],
                                              names=["rec", "lang_pred", "score"])
 
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(lambda b: give_back(score(b)), schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import bound_batches, byte_chunks, checkpoint
+from foldwise.llm.common import bound_batches, byte_chunks, checkpoint, give_back
 from foldwise.llm.graph import connected_components, in_blocks, map_groups
 
 N = 5
@@ -151,7 +151,7 @@ def sign_documents(docs: DataFrame, bands: int, rows: int, n: int, key: str = "d
                 pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1) * bands, pa.int32()), pa.array(sig.ravel()))],
                 names=["id", "digest", "n_grams", "bands"])
 
-    return raw.mapInArrow(run, "id long, digest binary, n_grams long, bands array<long>")
+    return raw.mapInArrow(lambda b: give_back(run(b)), "id long, digest binary, n_grams long, bands array<long>")
 
 
 def ngram_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -164,7 +164,7 @@ def ngram_sets(docs: DataFrame, n: int) -> DataFrame:
             sets = [np.unique(grams[s:e]).tobytes() for s, e in zip(upto[:-1], upto[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary())], names=["id", "grams"])
 
-    return docs.mapInArrow(run, "id long, grams binary")
+    return docs.mapInArrow(lambda b: give_back(run(b)), "id long, grams binary")
 
 
 def _set(value: pa.Scalar) -> np.ndarray:
@@ -285,6 +285,9 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)}) if len(a) else None
 
     crossing = checkpoint(map_groups(unsettled, ["bucket", "bi", "bj"], across, "a long, b long").distinct())
+    if not count_links:
+        final = connected_components(linked.union(crossing).union(_equal_ids(nodes, linkable)))
+        return _classes(signed, linkable, nodes, final, None)
     joined = checkpoint(connected_components(linked.union(crossing)))
 
     # nodes of one component: links of each (every link lies in a component)
@@ -304,17 +307,22 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
         return pa.table({"id": np.concatenate(out_ids), "n": np.concatenate(out_n).astype(np.int64)})
 
     counted = map_groups(inside, ["component", "bi", "bj"], count, "id long, n long")
-    links = (counted if count_links else joined.select("id", F.lit(0).cast("long").alias("n"))).groupBy("id").agg(F.sum("n").alias("n"))
+    links = counted.groupBy("id").agg(F.sum("n").alias("n"))
     stars = joined.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
     final = connected_components(stars.union(_equal_ids(nodes, linkable)))
-    labels = (nodes.select("digest", F.col("node").alias("id"), "copies").join(final, "id", "left").join(links, "id", "left")
-              .select("digest", F.coalesce("component", "id").alias("class_id"),
-                      (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    return _classes(signed, linkable, nodes, final, links)
+
+
+def _classes(signed: DataFrame, linkable: DataFrame, nodes: DataFrame, final: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The result's rows from the components of nodes and the links of each node (None: not counted)."""
+    with_links = nodes.select("digest", F.col("node").alias("id"), "copies").join(final, "id", "left")
+    with_links = with_links.join(links, "id", "left") if links is not None else with_links.withColumn("n", F.lit(0).cast("long"))
+    labels = with_links.select("digest", F.coalesce("component", "id").alias("class_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     known = linkable.select("id", "digest").join(labels, "digest").groupBy("id").agg(
         F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
     out = signed.select("id").join(known, "id", "left")
     cls = F.coalesce("class_id", "id")
-    n_links = F.coalesce("n_links", F.lit(0)).cast("long") if count_links else F.lit(None).cast("long")
+    n_links = F.coalesce("n_links", F.lit(0)).cast("long") if links is not None else F.lit(None).cast("long")
     return out.select("id", cls.alias("class_id"), n_links.alias("n_links"),
                       F.coalesce(cls == F.col("id"), F.lit(True)).alias("kept"))
 
