@@ -41,8 +41,10 @@ from foldwise.llm.jaccard_join import _BASE, _INVERSE, _mix, _powers
 WIDTH = 50
 KGRAM = 20
 #: bytes of text of a block, and rows
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BLOCK_ROWS = 8192
+#: bytes of text of a batch that goes back to the JVM, about
+OUT_BYTES = 1 << 20
 #: an anchor in more blocks than this is cut into single windows
 HOT_BLOCKS = 1000
 #: hash buckets per block of text, and the number of buckets up to which there is one per block
@@ -419,7 +421,9 @@ def _cut(t: pa.Table, gone: pa.Table) -> pa.Table:
     spans = pa.ListArray.from_arrays(
         pa.array(np.searchsorted(row, np.arange(len(t) + 1)), pa.int32()),
         pa.StructArray.from_arrays([pa.array(start - off[row]), pa.array(end - start)], fields=list(SPANS.value_type)))
-    return pa.table([t["rec"], t["id"], kept_col, spans], names=["rec", "id", "kept", "spans"])
+    out = pa.table([t["rec"], t["id"], kept_col, spans], names=["rec", "id", "kept", "spans"])
+    rows = max(1, len(t) * OUT_BYTES // max(1, len(kept)))
+    return pa.Table.from_batches(out.to_batches(max_chunksize=rows), out.schema)
 
 
 def suffix_dedup(docs: DataFrame, keep: list[Column], key: str = "doc_id", text: str = "text", width: int = WIDTH,
