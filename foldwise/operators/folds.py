@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import logging
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -214,10 +214,22 @@ def cluster_kfold(df: DataFrame, features: Sequence[str], k: int = DEFAULT_FOLDS
     return ClusterFoldResult(out, feats, n_clusters)
 
 
-def make_splitter(strategy: str):
-    """C5: 'cluster' (default) or 'duplicate_group'."""
-    if strategy == "duplicate_group":
-        return duplicate_group_kfold
-    if strategy == "cluster":
-        return cluster_kfold
-    raise ValueError(f"unknown cv strategy {strategy!r}")
+#: (rows, feature columns, id column) -> the rows with a column ``fold`` 0 .. k-1
+Splitter = Callable[[DataFrame, Sequence[str], str], DataFrame]
+
+
+def make_splitter(strategy: str, k: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED, n_clusters: int = 5,
+                  preferred: Sequence[str] = ()) -> Splitter:
+    """The splitter of a strategy: 'cluster', 'duplicate_group' or 'hash'."""
+    def by_cluster(df: DataFrame, features: Sequence[str], id_col: str) -> DataFrame:
+        cols = cluster_features(df, preferred, features)
+        return cluster_kfold(df, cols, k, n_clusters, seed, id_col=id_col).frame.drop("__cluster")
+
+    found = {
+        "cluster": by_cluster,
+        "duplicate_group": lambda df, features, id_col: duplicate_group_kfold(df, features, k),
+        "hash": lambda df, features, id_col: hash_kfold(df, k, seed, id_col),
+    }
+    if strategy not in found:
+        raise ValueError(f"unknown cv strategy {strategy!r}")
+    return found[strategy]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from foldwise.functions.exprs import to_null_if_not_finite
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
+log = logging.getLogger(__name__)
+
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     """Numeric columns in schema order (booleans and strings are not features)."""
@@ -76,9 +79,13 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "table")
 
 
 def load_train(spark: SparkSession, path: str, targets: Sequence[str]) -> DataFrame:
-    """Training table; the target columns must be present."""
+    """Training table; the target columns must be present, the ten largest shares of missing values are logged."""
     df = read_csv(spark, path) if path.endswith(".csv") else normalize_missing(read_parquet(spark, path))
     require_columns(df, targets, "train")
+    cols = [c for c in df.columns if c != "index"]
+    shares = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols]).first().asDict()
+    top = sorted(((c, s) for c, s in shares.items() if s), key=lambda x: (-x[1], x[0]))[:10]
+    log.info("missing values: %s", ", ".join(f"{c} {s:.4f}" for c, s in top) or "none")
     return df
 
 
