@@ -144,10 +144,11 @@ def output_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnose.output_contract(fin, [ID, *TARGETS])
 
 
-def _session_of(spark: SparkSession, partitions: int) -> SparkSession:
-    """A session of the same application with another number of shuffle partitions; the caller's keeps its own."""
+def _session_of(spark: SparkSession, more: int) -> SparkSession:
+    """A session of the same application with so many shuffle partitions more than the caller's, which keeps its own:
+    another layout of the rows, whose partitions are no larger."""
     other = spark.newSession()
-    other.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    other.conf.set("spark.sql.shuffle.partitions", str(int(spark.conf.get("spark.sql.shuffle.partitions")) + more))
     return other
 
 
