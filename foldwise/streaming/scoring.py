@@ -1,47 +1,37 @@
 """Score a streaming DataFrame with a trained linear bundle.
 
 Prediction is row-local: derive features, impute/scale and every base model
-are linear in the augmented row vector, so each base prediction is one dot
-product with a literal coefficient array, the meta model another one.  The
-plan has no shuffle and no state, so it runs in append mode on any source
+are linear in the augmented row vector, so all base predictions of a batch are
+one matrix product, the meta model a column expression over them.  The plan has
+no shuffle and no state, so it runs in append mode on any source
 (files, Kafka) and each micro-batch scales with the cluster."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.operators.oof import _augmented, dot
-from foldwise.plans.train import TrainResult, derive, postprocess
 from foldwise.functions.exprs import inverse_plain
-
-
-def _lit_array(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+from foldwise.operators import blend
+from foldwise.operators.oof import score_linear
+from foldwise.plans.train import TrainResult, derive, postprocess
 
 
 def score_stream(result: TrainResult, stream: DataFrame) -> DataFrame:
     cfg = result.cfg
     if result.final_trees or result.extra:
         raise ValueError("streaming scoring supports the linear candidates (trees need a batch transform)")
-    df = derive(stream, cfg)
-    a = _augmented(result.features, result.centre)
-    names = result.names
-    logs = dict(cfg.targets)
-    cols = {}
+    df = derive(stream, cfg).select(cfg.id_col, *result.features)
+    names, logs, outs = result.names, dict(cfg.targets), []
+    # all linear scores of a row in one matrix product per Arrow batch, then columns over them
+    scored, columns = score_linear(df, result.final_linear, result.features, result.centre, None)
+    base = {pair: f"__base{i}" for i, pair in enumerate(columns)}
+    scored = scored.select(cfg.id_col, *[inverse_plain(F.col(c), logs[t]).alias(base[t, m]) for (t, m), c in columns.items()])
     for t, _ in cfg.targets:
-        base = {}
-        for f in result.final_linear:
-            if f.target == t:
-                base[f.model] = inverse_plain(dot(a, _lit_array(f.beta)), logs[t])
         if result.metas:
             meta = result.metas[t]
-            # the meta input vector is built from the base predictions of this row
-            xs = [F.coalesce(base[n] - F.lit(float(meta.centre[i])), F.lit(0.0)) for i, n in enumerate(names)]
-            zs = [base[n].isNull().cast("double") for n in names]
-            cols[t] = dot(F.array(*xs, *zs, F.lit(1.0)), _lit_array(meta.final.beta))
+            outs.append(blend.linear_column(meta.final.beta, [base[t, n] for n in names], meta.centre).alias(t))
         else:
             w = result.weights[t]
-            cols[t] = sum(F.lit(float(w.get(n, 1.0))) * base[n] for n in names) / F.lit(sum(w.get(n, 1.0) for n in names))
-    wide = df.select(cfg.id_col, *[c.alias(t) for t, c in cols.items()])
-    return postprocess(wide, cfg, result.si_blend_w)
+            outs.append((sum(F.lit(float(w.get(n, 1.0))) * F.col(base[t, n]) for n in names) / F.lit(sum(w.get(n, 1.0) for n in names))).alias(t))
+    return postprocess(scored.select(cfg.id_col, *outs), cfg, result.si_blend_w)
