@@ -19,6 +19,7 @@ files are running sums of the manifest's token counts (one row per file).
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 import zlib
@@ -43,6 +44,12 @@ FILE_BYTES = 16 << 20
 END_ID = 0
 #: characters that the tokenizer gets at once: longer texts are cut where a new word begins
 PIECE_CHARS = 1 << 16
+#: characters whose words are looked up at once; bytes of words that a worker remembers, words that are
+#: encoded in one text, and what a remembered word costs beside its bytes and ids
+CHUNK_CHARS = 4 << 20
+MEMORY_BYTES = 128 << 20
+WORDS = 128
+WORD_COST = 160
 
 _MANIFEST = "part int, ids_file string, docs_file string, docs long, tokens long"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
@@ -84,19 +91,35 @@ def pieces(text: str, most: int = PIECE_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
-def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
-    """Ids of every text, without special tokens."""
-    cut = [list(pieces(t)) for t in texts]
-    flat = [p for ps in cut for p in ps]
+def _encode(texts: list[str], path: str) -> list[np.ndarray]:
+    """Ids of every text; the library gets a bounded number of characters at once."""
     ids: list[np.ndarray] = []
+    for some in _groups(texts, PIECE_CHARS):
+        ids += [np.array(e.ids, np.uint32) for e in _tokenizer(path).encode_batch_fast(some, add_special_tokens=False)]
+    return ids
+
+
+def _groups(texts: list[str], most: int) -> Iterator[list[str]]:
+    """The texts in order, in groups of at most ``most`` characters (or one text)."""
     at = 0
-    while at < len(flat):  # together a bounded number of characters
+    while at < len(texts):
         end, size = at, 0
-        while end < len(flat) and (end == at or size + len(flat[end]) <= PIECE_CHARS):
-            size += len(flat[end])
+        while end < len(texts) and (end == at or size + len(texts[end]) <= most):
+            size += len(texts[end])
             end += 1
-        ids += [np.array(e.ids, np.uint32) for e in _tokenizer(path).encode_batch_fast(flat[at:end], add_special_tokens=False)]
+        yield texts[at:end]
         at = end
+
+
+def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
+    """Ids of every text, without special tokens."""
+    cut = [list(pieces(t)) for t in texts]
+    flat = [p for ps in cut for p in ps]
+    memory = _memory(path)
+    if memory is None:
+        ids = _encode(flat, path)
+    else:
+        ids = [x for some in _groups(flat, CHUNK_CHARS) for x in memory.encode(some)]
     out, at = [], 0
     for ps in cut:
         out.append(ids[at] if len(ps) == 1 else np.concatenate(ids[at: at + len(ps)]))
@@ -104,6 +127,111 @@ def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     return out
 
 
+class WordMemory:
+    """Encodes texts word by word, each different word by the library once.
+
+    A word begins at a blank between two characters that are not white space,
+    where byte-level patterns always start a match, so the ids of a text are
+    those of its words in order.  Words not met before go to the library, many in
+    one text; the name of a byte-level token has a character per byte, which tells
+    where the ids of a word end.  Once the words hold ``most`` bytes, those met in
+    one chunk only are forgotten, to be learnt again."""
+
+    def __init__(self, path: str, most: int = MEMORY_BYTES):
+        self.path, self.most = path, most
+        vocabulary = _tokenizer(path).get_vocab(with_added_tokens=False)
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.token_bytes[i] = len(token)
+        self.slots: dict[bytes, int] = {}  # word k has the ids ends[k] .. ends[k + 1] and was met in met[k] chunks
+        self.ids, self.ends, self.met, self.held = np.empty(0, np.uint32), np.zeros(1, np.int64), np.empty(0, np.int64), 0
+
+    def _forget(self) -> None:
+        """Keep the words that were met in more than one chunk, if they are few enough."""
+        kept = [(w, k) for w, k in self.slots.items() if self.met[k] > 1] if self.held else []
+        if 2 * len(kept) > len(self.slots):
+            kept = []
+        at = np.array([k for _, k in kept], np.int64)
+        n = self.ends[at + 1] - self.ends[at]
+        after = np.cumsum(n)
+        self.ids = self.ids[np.repeat(self.ends[at] - after + n, n) + np.arange(n.sum())]
+        self.slots = {w: i for i, (w, _) in enumerate(kept)}
+        self.ends, self.met = np.append(0, after), np.zeros(len(kept), np.int64)
+        self.held = sum(len(w) + WORD_COST for w in self.slots) + self.ids.nbytes
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.held > self.most:
+            self._forget()
+        raw = [t.encode() for t in texts]
+        data, bounds = b"".join(raw), np.cumsum([0] + [len(r) for r in raw])
+        if not data:
+            return [np.empty(0, np.uint32) for _ in texts]
+        outer = np.zeros(len(data) + 1, bool)  # where a text starts or ends
+        outer[bounds] = True
+        starts = np.flatnonzero(_word_starts(data, outer) | outer)
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)]).dictionary_encode()
+        place, (_, ends, buffer) = words.indices.to_numpy(), words.dictionary.buffers()
+        ends, buffer = np.frombuffer(ends, np.int64)[: len(words.dictionary) + 1].tolist(), buffer.to_pybytes()
+        keys = [buffer[a:b] for a, b in zip(ends, ends[1:])]
+        alone = np.ones(len(keys), bool)  # words between two blanks can follow each other in one text, others not
+        alone[place[~(outer[starts[:-1]] | outer[starts[1:]])]] = False
+        found = list(map(self.slots.get, keys))
+        new = [i for i, k in enumerate(found) if k is None]
+        self._learn([keys[i] for i in new if not alone[i]], [keys[i] for i in new if alone[i]])
+        for i in new:
+            found[i] = self.slots[keys[i]]
+        slot = np.array(found)
+        self.met[slot] += 1
+        first, n = self.ends[slot][place], (self.ends[slot + 1] - self.ends[slot])[place]
+        after = np.cumsum(n)
+        ids = self.ids[np.repeat(first - after + n, n) + np.arange(after[-1])]
+        cuts = np.append(0, after)[np.searchsorted(starts, bounds)].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _learn(self, inner: list[bytes], outer: list[bytes]) -> None:
+        """Encode the inner words behind each other, the others apart."""
+        groups = [inner[i: i + WORDS] for i in range(0, len(inner), WORDS)] + [[w] for w in outer]
+        ids, ends, base = [self.ids], [self.ends], self.ends[-1]
+        for words, got in zip(groups, _encode([b"".join(g).decode() for g in groups], self.path), strict=True):
+            token_ends, word_ends = np.cumsum(self.token_bytes[got]), np.cumsum([len(w) for w in words])
+            last = np.searchsorted(token_ends, word_ends)
+            if token_ends[-1] != word_ends[-1] or (token_ends[last] != word_ends).any():
+                raise ValueError("a token reaches over the start of a word")
+            self.slots.update(zip(words, range(len(self.slots), len(self.slots) + len(words))))
+            ids.append(got)
+            ends.append(base + last + 1)
+            base += len(got)
+            self.held += int(word_ends[-1]) + 4 * len(got) + WORD_COST * len(words)
+        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+        self.met = np.append(self.met, np.zeros(len(self.slots) - len(self.met), np.int64))
+
+
+def _word_starts(data: bytes, outer: np.ndarray) -> np.ndarray:
+    """Whether a byte is a blank between two characters of one text that are certainly no
+    white space (ASCII, or letters and signs of two bytes from U+00C0 on)."""
+    b = np.frombuffer(data, np.uint8)
+    at = np.flatnonzero(b == 0x20)
+    at = at[(at > 1) & (at < len(b) - 1)]
+    at = at[~(outer[at] | outer[at + 1])]
+    before, lead, behind = b[at - 1], b[at - 2], b[at + 1]
+    solid = ((before > 0x20) & (before < 0x7F)) | ((before >= 0x80) & (lead >= 0xC3) & (lead < 0xE0))
+    solid &= ((behind > 0x20) & (behind < 0x7F)) | ((behind >= 0xC3) & (behind < 0xE0))
+    out = np.zeros(len(b) + 1, bool)
+    out[at[solid]] = True
+    return out
+
+
+@cache
+def _memory(path: str) -> WordMemory | None:
+    """The worker's memory of words for a tokenizer whose ids of a text are those of its words; else None."""
+    t = json.loads(_tokenizer(path).to_str())
+    pre, model = t["pre_tokenizer"] or {}, t["model"]
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True) and not t["normalizer"]
+    plain = plain and not t["truncation"] and not t["padding"] and all(a["special"] for a in t["added_tokens"])
+    bpe = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix"))
+    return WordMemory(path) if plain and bpe else None
+
+
 # ------------------------------------------------------------- files
 class SequenceWriter:
     """Appends documents to a file of equal-length sequences; at most one batch is held."""

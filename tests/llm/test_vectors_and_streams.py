@@ -233,6 +233,51 @@ def test_long_texts_are_cut_where_words_begin(tokenizer):
     assert list(token_stream.pieces("x" * 200, 50)) == ["x" * 200] and list(token_stream.pieces("")) == [""]
 
 
+def test_words_are_encoded_once(tokenizer, monkeypatch):
+    given = []
+
+    class Library:
+        def encode_batch_fast(self, some, **kw):
+            given.extend(some)
+            return library.encode_batch_fast(some, **kw)
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+    library, spy = token_stream._tokenizer(tokenizer), Library()
+    monkeypatch.setattr(token_stream, "_tokenizer", lambda path: spy)
+    monkeypatch.setattr(token_stream, "_memory", token_stream.cache(lambda path: token_stream.WordMemory(path)))
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(300)]
+    some = [" ".join(rng.choice(words, 500)) for _ in range(40)]
+    got = token_stream.encode_texts(some, tokenizer)
+    assert [x.tolist() for x in got] == [x.ids for x in library.encode_batch_fast(some, add_special_tokens=False)]
+    assert 0 < sum(map(len, given)) < sum(map(len, some)) / 20
+
+
+@pytest.mark.parametrize("most", [0, 3000, 1 << 20])
+def test_words_of_odd_texts_encode_as_whole_texts(tokenizer, most):
+    rng = np.random.default_rng(7)
+    signs = ["a", "B", " ", " ", "  ", "\n", "\t", "é", "я", "р", "中", "😀", "\u00a0", "\u3000", "\u2009", "\u0085", "\u1680", "\x1c", "\x00",
+             "\x7f", "'s", "12", "<|endoftext|>", "_", "\u0301", "À"]
+    memory = token_stream.WordMemory(tokenizer, most)
+    for _ in range(40):
+        some = ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(20)]
+        assert [x.tolist() for x in memory.encode(some)] == [x.tolist() for x in token_stream._encode(some, tokenizer)]  # the library, whole texts
+    assert most == 1 << 20 or len(memory.slots) < 1000
+    assert [len(x) for x in memory.encode(["", ""])] == [0, 0]
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    t = Tokenizer(models.WordLevel({"a": 0, "b": 1, "?": 2}, unk_token="?"))
+    t.pre_tokenizer = pre_tokenizers.Whitespace()
+    t.save(str(tmp_path / "t.json"))
+    assert token_stream._memory(str(tmp_path / "t.json")) is None
+    assert [x.tolist() for x in token_stream.encode_texts(["a b", "", "b c a"], str(tmp_path / "t.json"))] == [[0, 1], [], [1, 2, 0]]
+
+
 def test_query_op13_equals_the_library(spark, tokenizer):
     got = {r.doc_id: r for r in queries.op13_token_stream(spark, SF).collect()}
     start = 0
