@@ -9,8 +9,9 @@ that is itself a token is not merged.  Pieces beyond ``LONG_BYTES`` take the sam
 merges in the same order from a heap, since a padded row costs its length in
 every round.
 
-Ranks come from a file read once per Python worker.  Each row's text is encoded
-whole; nothing is shuffled.
+Ranks come from a file read once per task; a Python worker keeps nothing of them
+afterwards, since later tasks of other kinds use it again.  Each row's text is
+encoded whole; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import cache
 from itertools import islice
 
 import numpy as np
@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.llm.common import bound_batches, byte_chunks
+from foldwise.llm.common import bound_batches, byte_chunks, give_back
 
 LONG_BYTES = 512
-#: distinct pieces that a Python worker remembers
+#: distinct pieces that a task remembers
 PIECES_KEPT = 250_000
 #: bytes of the texts that are split and merged together, which bounds memory
 CHUNK_BYTES = 1 << 20
@@ -98,7 +98,6 @@ class Ranks:
         return out.reshape(left.shape)
 
 
-@cache
 def load_ranks(path: str) -> Ranks:
     with open(path, "rb") as f:
         return Ranks({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
@@ -222,11 +221,6 @@ class Pieces:
         self.flat = np.concatenate([self.flat, *tokens]).astype(np.uint32)
 
 
-@cache
-def load_pieces(path: str) -> Pieces:
-    return Pieces(load_ranks(path))
-
-
 def encode_texts(texts: list[str], split: regex.Pattern, known: Pieces) -> list[np.ndarray]:
     """Token ids (uint32) of each text."""
     if len(known.number) > known.most:
@@ -268,7 +262,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[Column], t
         schema.add("decoded", T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, split = load_pieces(ranks_path), regex.compile(pattern)
+        known, split = Pieces(load_ranks(ranks_path)), regex.compile(pattern)
         for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"), CHUNK_BYTES)):
             ids = encode_texts(b.column("text").to_pylist(), split, known)
             columns = [b.column("rec"), pa.array([v.astype("<u4").tobytes() for v in ids], pa.binary())]
@@ -276,7 +270,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[Column], t
                 columns.append(pa.array([decode_ids(v, known.ranks) for v in ids], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lambda b: give_back(run(b)), schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -289,4 +283,4 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             out = [decode_ids(np.frombuffer(v.as_py() or b"", "<u4"), ranks) for v in b.column("ids")]
             yield pa.RecordBatch.from_arrays([b.column("rec"), b.column("ids"), pa.array(out, pa.binary())], names=["rec", "ids", "decoded"])
 
-    return encoded.select("rec", "ids").mapInArrow(run, schema)
+    return encoded.select("rec", "ids").mapInArrow(lambda b: give_back(run(b)), schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import checkpoint
+from foldwise.llm.common import checkpoint, give_back
 
 #: members of a block of :func:`in_blocks`; a task holds two blocks
 BLOCK = 1000
@@ -105,4 +105,4 @@ def map_groups(rows: DataFrame, keys: Sequence[str], work: Callable[[pa.Table],
                 held.append(b.slice(start, end - start))
         yield from flush()
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda b: give_back(run(b)), schema)

@@ -36,6 +36,10 @@ MAX_HASHES = 192
 SEED = 90210
 #: n-grams that are hashed together, which keeps them in the processor's cache
 CHUNK = 1 << 16
+#: bytes of text that one pass splits and hashes (an array of it takes eight times that)
+TEXT_BYTES = 1 << 17
+#: columns of a matrix product, and rows of a quotient, that are in memory at once
+WIDTH, ROWS = 1024, 128
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -140,7 +144,7 @@ def sign_documents(docs: DataFrame, bands: int, rows: int, n: int, key: str = "d
     raw = bound_batches(docs).select(F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"))):
+        for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"), TEXT_BYTES)):
             grams, counts, words = ngram_hashes(b.column("text"), n)
             sums = np.concatenate([[np.uint64(0)], np.cumsum(grams, dtype=np.uint64)])
             upto = np.concatenate([[0], np.cumsum(counts)])
@@ -158,7 +162,7 @@ def ngram_sets(docs: DataFrame, n: int) -> DataFrame:
     """(id, grams): sorted distinct n-gram hashes as bytes, of rows (id, text as binary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"))):
+        for b in (x.slice(c.start, c.stop - c.start) for x in batches for c in byte_chunks(x.column("text"), TEXT_BYTES)):
             grams, counts, _ = ngram_hashes(b.column("text"), n)
             upto = np.concatenate([[0], np.cumsum(counts)])
             sets = [np.unique(grams[s:e]).tobytes() for s, e in zip(upto[:-1], upto[1:], strict=True)]
@@ -194,15 +198,19 @@ def similar_matrix(left: list[np.ndarray], right: list[np.ndarray], threshold: f
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     both = np.zeros((len(left), len(right)), np.float32)
-    width, total = 4096, int(times[times > 1].size)
-    for start in range(0, total, width):
-        a, b = np.searchsorted(column, [start, start + width])
-        m = np.zeros((len(left) + len(right), width), np.float32)
+    total = int(times[times > 1].size)
+    m = np.empty((len(left) + len(right), min(WIDTH, total)), np.float32)
+    for start in range(0, total, WIDTH):
+        a, b = np.searchsorted(column, [start, start + WIDTH])
+        m[:] = 0
         m[row[a:b], column[a:b] - start] = 1
         both += m[: len(left)] @ m[len(left):].T
-    both = both.astype(np.float64)
-    union = n_left[:, None] + n_right[None, :] - both
-    return np.divide(both, union, out=np.zeros_like(both), where=union > 0) >= threshold
+    hit = np.zeros(both.shape, bool)
+    for start in range(0, len(left), ROWS):
+        part = both[start: start + ROWS].astype(np.float64)
+        union = n_left[start: start + ROWS, None] + n_right[None, :] - part
+        hit[start: start + ROWS] = np.divide(part, union, out=np.zeros_like(part), where=union > 0) >= threshold
+    return hit
 
 
 def spanning_links(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,7 +273,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     stars = buckets.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     paired = (stars.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
               .join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a"))
-    linked = checkpoint(paired.mapInArrow(verify, "a long, b long").distinct())
+    linked = checkpoint(paired.mapInArrow(lambda b: give_back(verify(b)), "a long, b long").distinct())
     first = checkpoint(connected_components(linked))
 
     # nodes of one bucket in different components: every pair of them that no star has compared

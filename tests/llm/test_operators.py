@@ -1,13 +1,16 @@
 """The training-data operators against brute force on small fixtures with nulls, ties, repeats, empty and long texts."""
 
+import gc
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -587,3 +590,34 @@ def test_shared_counts():
     got = graph.shared_counts(sets[:10], sets[10:], width=16)
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[10:]] for a in sets[:10]]
     assert graph.shared_counts([], sets).shape == (0, 25)
+
+
+def test_similar_matrix_holds_little(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 2**60, 6000).astype(np.uint64))
+    sets = [np.sort(rng.choice(base, int(n), replace=False)) for n in rng.integers(100, 130, 1600)]
+    sets[900:950] = sets[:50]
+    tracemalloc.start()
+    hit = jaccard_join.similar_matrix(sets[:800], sets[800:], 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(zip(*(x.tolist() for x in np.nonzero(hit)), strict=True)) == [(i, i + 100) for i in range(50)]
+    assert peak < 35 << 20
+    few = [np.unique(rng.integers(0, 12, int(n)).astype(np.uint64)) for n in rng.integers(0, 20, 40)]
+    want = [[jaccard_join.jaccard(a, b) >= 0.5 for b in few[15:]] for a in few[:15]]
+    for width, rows in ((3, 4), (1024, 128)):
+        monkeypatch.setattr(jaccard_join, "WIDTH", width)
+        monkeypatch.setattr(jaccard_join, "ROWS", rows)
+        assert jaccard_join.similar_matrix(few[:15], few[15:], 0.5).tolist() == want
+
+
+def test_workers_keep_no_ranks(spark, docs):
+    path, pattern = queries.tokenizer()
+    bpe_matrix.encode(docs.repartition(4), path, pattern, [F.col("doc_id")]).write.format("noop").mode("overwrite").save()
+
+    def count(batches):
+        n = sum(isinstance(x, bpe_matrix.Ranks) for x in gc.get_objects())
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([n] * b.num_rows, pa.int64())], names=["n"])
+
+    assert {r.n for r in spark.range(0, 40, 1, 4).mapInArrow(count, "n long").collect()} == {0}
