@@ -32,9 +32,9 @@ from foldwise.llm.common import bound_batches, byte_chunks, give_back
 
 LONG_BYTES = 512
 #: distinct pieces that a task remembers
-PIECES_KEPT = 250_000
+PIECES_KEPT = 100_000
 #: bytes of the texts that are split and merged together, which bounds memory
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _NONE = np.int32(np.iinfo(np.int32).max)
 
 

@@ -53,7 +53,7 @@ CHUNK_BYTES = 1 << 19
 
 
 #: bytes of an Arrow batch that is sent to Python, where the session leaves Spark's default
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 

@@ -35,7 +35,7 @@ UNKNOWN = "und"
 #: bytes of text, rows and n-grams of one product, which bound its memory
 CHUNK_BYTES = 1 << 18
 CHUNK_ROWS = 256
-CHUNK_GRAMS = 8192
+CHUNK_GRAMS = 1024
 
 
 @cache

@@ -43,6 +43,8 @@ KGRAM = 20
 #: bytes of text of a block, and rows
 BLOCK_BYTES = 4 << 20
 BLOCK_ROWS = 8192
+#: bytes of text whose windows are hashed together (their arrays take about fifty times that)
+RUN_BYTES = 1 << 18
 #: bytes of text of a batch that goes back to the JVM, about
 OUT_BYTES = 1 << 20
 #: an anchor in more blocks than this is cut into single windows
@@ -202,7 +204,7 @@ def _chunk_runs(t: pa.Table, width: int, k: int) -> Iterator[tuple]:
     """(chunk's first byte, bytes, first row, offsets, starts, windows, anchors) chunk by chunk; NULL ids have no run."""
     data, off, col = _texts(t)
     rows = len(t) - t["id"].null_count
-    for c in byte_chunks(col.slice(0, rows)):
+    for c in byte_chunks(col.slice(0, rows), RUN_BYTES):
         a, b = off[c.start], off[c.stop]
         yield (a, data[a:b], c.start, off[c.start: c.stop + 1] - a, *window_runs(data[a:b], off[c.start: c.stop + 1] - a, width, k))
 

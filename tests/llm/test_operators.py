@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldwise.llm import (
-    bpe_matrix, cap_filters, chat_parts, graph, hd_langid, jaccard_join, license_scan, mixing, quality_divergence, queries,
+    bpe_matrix, cap_filters, chat_parts, common, graph, hd_langid, jaccard_join, license_scan, mixing, quality_divergence, queries,
     shuffle_shards, suffix_dedup,
 )
 
@@ -621,3 +621,30 @@ def test_workers_keep_no_ranks(spark, docs):
             yield pa.RecordBatch.from_arrays([pa.array([n] * b.num_rows, pa.int64())], names=["n"])
 
     assert {r.n for r in spark.range(0, 40, 1, 4).mapInArrow(count, "n long").collect()} == {0}
+
+
+def _peak(work) -> int:
+    tracemalloc.start()
+    work()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak
+
+
+def test_workers_hold_little_at_once(spark, docs):
+    rng = np.random.default_rng(11)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzäöüß"))
+    texts = ["".join(rng.choice(letters, 1000)) for _ in range(256)]
+    hd_langid.bundles(["".join(letters)])  # the letters' vectors stay
+    assert _peak(lambda: hd_langid.bundles(texts)) < 40 << 20
+    t = pa.table({"id": pa.array(range(1024)), "data": pa.array([x.encode() for x in texts * 4], pa.binary())})
+    assert _peak(lambda: list(suffix_dedup._chunk_runs(t.slice(0, 512), 50, 20))) < 18 << 20
+    assert bpe_matrix.PIECES_KEPT <= 100_000 and bpe_matrix.CHUNK_BYTES <= 1 << 18
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        common.bound_batches(docs)
+        assert int(spark.conf.get(key).rstrip("b")) <= 1 << 20
+    finally:
+        spark.conf.set(key, before)
