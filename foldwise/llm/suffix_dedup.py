@@ -7,13 +7,15 @@ brought together:
 1. Rows are dealt into blocks of bounded bytes by a hash.  The smallest hash of
    the k-grams inside a ``width``-byte window (its anchor) depends on the window
    alone, so equal windows have equal anchors; neighbouring windows with one
-   anchor form a run.
+   anchor form a run, whose bytes are a segment.
 2. Anchors (4 bytes each, distinct per block) are shuffled into buckets; those of
    one row only are dropped.  Most of the text leaves here.
-3. The runs of the other anchors are cut out as segments, equal ones of a block
-   merged (the smallest id stays, later ones are removed at once), and shuffled
-   by anchor.  Anchors found in very many blocks are cut into single windows and
-   shuffled by window, so that no bucket grows with a common passage.
+3. Of the segments of the other anchors, hashes, smallest ids and places are
+   shuffled by anchor, no bytes.  Segments that are equal to one of a smaller id
+   go as a whole, in whatever block they lie.  Where all segments of an anchor are
+   equal that is all; where they differ, the bytes of each different segment are
+   asked for once.  Of an anchor with very many different ones they come as single
+   windows, by the window's hash, so that no bucket grows with a common k-gram.
 4. In each bucket a suffix array of the distinct segments is built: suffixes
    smaller than their successors are sorted directly, the others are induced by
    a scan over the buckets of first bytes; adjacent suffixes with a common prefix
@@ -47,8 +49,10 @@ BLOCK_ROWS = 8192
 RUN_BYTES = 1 << 18
 #: bytes of text of a batch that goes back to the JVM, about
 OUT_BYTES = 1 << 20
-#: an anchor in more blocks than this is cut into single windows
-HOT_BLOCKS = 1000
+#: segments of an anchor that are cut into single windows if there are more different ones than so many blocks' worth of so many
+HOT_BLOCKS, BLOCK_SEGMENTS = 1000, 128
+#: windows whose bytes are hashed together
+WINDOWS = 1 << 14
 #: hash buckets per block of text, and the number of buckets up to which there is one per block
 BUCKET_BLOCKS = 4
 MANY = 64
@@ -260,7 +264,7 @@ def _anchors(t: pa.Table, width: int, k: int, buckets: int) -> pa.Table:
     return _table(rows, ["bucket", "block", "payload"], [pa.int32(), pa.int32(), pa.binary()])
 
 
-def _shared(t: pa.Table, hot: int) -> pa.Table:
+def _shared(t: pa.Table) -> pa.Table:
     """Step 2, reduce side: anchors of the bucket found in two rows or more, back to their blocks."""
     bucket = t["bucket"][0].as_py()
     blocks = t["block"].to_numpy()
@@ -270,63 +274,146 @@ def _shared(t: pa.Table, hot: int) -> pa.Table:
     _, at, times = np.unique(v, return_inverse=True, return_counts=True)
     at = at.reshape(-1)
     keep = (times[at] > 1) | (np.bincount(at, weights=several, minlength=len(times)) > 0)[at]
-    v, block, times = v[keep], block[keep], times[at][keep]
-    rows = [(b, bucket, _pack(v=v[i], h=times[i] > hot)) for b, i in _by_bucket(block)]
+    v, block = v[keep], block[keep]
+    rows = [(b, bucket, _pack(v=v[i])) for b, i in _by_bucket(block)]
     return _table(rows, ["block", "bucket", "payload"], [pa.int32(), pa.int32(), pa.binary()])
 
 
-def _segments(t: pa.Table, found: pa.Table, width: int, k: int, buckets: int) -> pa.Table:
-    """Step 3: the segments of shared anchors, by bucket, and the stretches that are already known to go (bucket 0, kind 1)."""
-    names, kinds = ["bucket", "block", "kind", "payload"], [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+#: rows of steps 3 and 4: bytes or hashes of a bucket's segments (kind 0), stretches of a block that go (kind 1)
+_PARTS_OF_BLOCKS = ["bucket", "block", "kind", "payload"], [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+_PARTS_SCHEMA = "bucket int, block int, kind int, payload binary"
+
+
+def _planes(a: np.ndarray, kind: str) -> np.ndarray:
+    """Numbers as first bytes, second bytes, ...: the many zeros stand together and leave in compression."""
+    return np.ascontiguousarray(a, kind).view("u1").reshape(len(a), np.dtype(kind).itemsize).T
+
+
+def _from_planes(a: np.ndarray, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(a.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel().astype(np.int64)
+
+
+def _gone(block: int, start: np.ndarray, length: np.ndarray, off: np.ndarray) -> tuple:
+    _, start, end = merged_spans(start, length, off)
+    return 0, block, 1, _pack(s=start, n=end - start)
+
+
+def _lowest(route: np.ndarray, content: np.ndarray, size: np.ndarray, who: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, head, later) of segments by route: of equal ones (head: the first) those of the smallest id come first, the others are later."""
+    order = np.lexsort((start, who, size, content, route))
+    route, content, size, who = route[order], content[order], size[order], who[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (content[1:] != content[:-1]) | (route[1:] != route[:-1]) | (size[1:] != size[:-1])
+    return order, new, who > who[new][np.cumsum(new) - 1]
+
+
+def _hashes(t: pa.Table, found: pa.Table, width: int, k: int, buckets: int) -> pa.Table:
+    """Step 3, map side: distinct segments of shared anchors by bucket, and the stretches that are already known to go."""
     if not len(t) or not len(found):
-        return _table([], names, kinds)
+        return _table([], *_PARTS_OF_BLOCKS)
     block, t = t["block"][0].as_py(), _block(t)
     ids = t["id"].to_numpy(zero_copy_only=False)
-    keys, hots = [], []
-    for b, p in zip(found["bucket"].to_pylist(), found["payload"], strict=True):
-        v, h = _unpack(memoryview(p.as_buffer()), "<u4", "?")
-        keys.append((np.uint64(b) << np.uint64(32)) | v.astype(np.uint64))
-        hots.append(h)
-    key, hot = np.concatenate(keys), np.concatenate(hots)
-    order = np.argsort(key)
-    key, hot = key[order], hot[order]
+    key = np.concatenate([(np.uint64(b) << np.uint64(32)) | _unpack(memoryview(p.as_buffer()), "<u4")[0].astype(np.uint64)
+                          for b, p in zip(found["bucket"].to_pylist(), found["payload"], strict=True)])
+    key.sort()
     start, size, route, content, who = [], [], [], [], []
-    data, _, _ = _texts(t)
+    _, whole, _ = _texts(t)
     for a, chunk, row0, off, s, n, anchor in _chunk_runs(t, width, k):
         mine = ((anchor % np.uint64(buckets)) << np.uint64(32)) | (anchor >> np.uint64(32))
-        at = np.minimum(np.searchsorted(key, mine), len(key) - 1)
-        hit = key[at] == mine
-        s, n, anchor, is_hot = s[hit], n[hit], anchor[hit], hot[at[hit]]
+        hit = key[np.minimum(np.searchsorted(key, mine), len(key) - 1)] == mine
+        s, length, mine = s[hit], n[hit] + width - 1, mine[hit]
         sums = np.zeros(len(chunk) + 1, np.uint64)
         np.cumsum(_BYTE[chunk] * _powers(_BASE, len(chunk)), dtype=np.uint64, out=sums[1:])
-        inverse = _powers(_INVERSE, len(chunk) + 1)
-        single = np.repeat(s[is_hot], n[is_hot]) + np.arange(n[is_hot].sum()) - np.repeat(np.cumsum(n[is_hot]) - n[is_hot], n[is_hot])
-        starts = np.concatenate([s[~is_hot], single])
-        length = np.concatenate([n[~is_hot] + width - 1, np.full(len(single), width)])
-        h = _mix((sums[starts + length] - sums[starts]) * inverse[starts])
-        start.append(starts + a)
+        h = _mix((sums[s + length] - sums[s]) * _powers(_INVERSE, len(chunk) + 1)[s])
+        start.append(s + a)
         size.append(length)
         content.append(h ^ _mix(length.astype(np.uint64)))
-        route.append(np.concatenate([anchor[~is_hot], h[len(starts) - len(single):]]))
-        who.append(ids[row0 + np.searchsorted(off, starts, "right") - 1].astype(np.int64))
+        route.append(mine)
+        who.append(ids[row0 + np.searchsorted(off, s, "right") - 1].astype(np.int64))
     start, size, route, content, who = map(np.concatenate, (start, size, route, content, who))
-    order = np.lexsort((start, who, content, route))
-    start, size, route, content, who = start[order], size[order], route[order], content[order], who[order]
-    if not len(start):
-        return _table([], names, kinds)
-    new = np.concatenate([[True], (content[1:] != content[:-1]) | (route[1:] != route[:-1]) | (size[1:] != size[:-1])])
-    cls = np.cumsum(new) - 1
-    lowest = who[new][cls]
-    later = who > lowest  # a smaller id of this block has the same segment
-    rows = [(0, block, 1, _pack(s=start[later], n=size[later]))]
-    start, size, route, cls, who = start[~later], size[~later], route[~later], cls[~later], who[~later]
-    head = np.concatenate([[True], cls[1:] != cls[:-1]])
-    for b, at in _by_bucket((route % np.uint64(buckets)).astype(np.int64)):
-        lead = at[head[at]]  # one copy of the bytes for all places of an equal segment in one row
-        cut = np.repeat(start[lead] - (np.cumsum(size[lead]) - size[lead]), size[lead]) + np.arange(size[lead].sum())
-        part = (route[lead] // np.uint64(buckets) % np.uint64(PARTS)).astype(np.uint8)
-        rows.append((b, block, 0, _pack(place=start[at], head=head[at], size=size[lead], who=who[lead], part=part, text=data[cut])))
-    return _table(rows, names, kinds)
+    order, head, later = _lowest(route, content, size, who, start)
+    rows = [_gone(block, start[order[later]], size[order[later]], whole)]
+    order, head = order[~later], head[~later]
+    for b, at in _by_bucket((route[order] >> np.uint64(32)).astype(np.int64)):
+        one = order[at[head[at]]]
+        rows.append((b, block, 0, _pack(place=_planes(start[order[at]], "<u4"), head=head[at], v=route[one].astype("<u4"),
+                                        content=content[one], size=_planes(size[one], "<u4"), who=_planes(who[one], "<i8"))))
+    return _table(rows, *_PARTS_OF_BLOCKS)
+
+
+def _asked(t: pa.Table, most: int) -> pa.Table:
+    """Step 3, reduce side: back to the blocks, segments that go as a whole and those whose bytes must be compared.
+
+    A segment goes if an equal one has a smaller id; what is left of an anchor is
+    compared if there are different segments, window by window if more than ``most``."""
+    bucket, rows, held = t["bucket"][0].as_py(), [], []
+    for b, kind, p in zip(t["block"].to_pylist(), t["kind"].to_pylist(), t["payload"], strict=True):
+        if kind:
+            rows.append((bucket, b, 1, p.as_py()))
+        else:
+            held.append((b, *_unpack(memoryview(p.as_buffer()), "u1", "?", "<u4", "<u8", "u1", "u1")))
+    if held:
+        v, content = (np.concatenate([x[k] for x in held]) for k in (3, 4))
+        size, who = (np.concatenate([_from_planes(x[k], kind) for x in held]) for k, kind in ((5, "<u4"), (6, "<i8")))
+        order, head, later = _lowest(v, content, size, who, np.arange(len(v)))
+        first = np.concatenate([[True], v[order[1:]] != v[order[:-1]]])
+        different = np.add.reduceat(head.astype(np.int64), np.flatnonzero(first))[np.cumsum(first) - 1]
+        gone, ask, hot = (np.empty(len(v), bool) for _ in range(3))
+        gone[order], ask[order], hot[order] = later, ~later & (different > 1), different > most
+        upto = 0
+        for b, place, lead, *_ in held:
+            place, at = _from_planes(place, "<u4"), upto + np.cumsum(lead) - 1
+            mine = np.arange(upto, at[-1] + 1)
+            upto = at[-1] + 1
+            whole, rest, one = gone[at], ask[at], mine[ask[mine]]
+            if whole.any() or len(one):
+                rows.append((bucket, b, 0, _pack(s=_planes(place[whole], "<u4"), n=_planes(size[at[whole]], "<u4"), place=_planes(place[rest], "<u4"),
+                                                 head=lead[rest], v=v[one], size=_planes(size[one], "<u4"), who=_planes(who[one], "<i8"), hot=hot[one])))
+    return _table(rows, *_PARTS_OF_BLOCKS)
+
+
+def window_hashes(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the ``width`` bytes from each place."""
+    powers = _powers(_BASE, width)
+    parts = [(_BYTE[data[starts[k: k + WINDOWS, None] + np.arange(width)]] * powers).sum(axis=1, dtype=np.uint64) for k in range(0, len(starts), WINDOWS)]
+    return _mix(np.concatenate([np.empty(0, np.uint64), *parts]))
+
+
+def _segments(t: pa.Table, asked: pa.Table, width: int, buckets: int) -> pa.Table:
+    """Step 4, map side: the bytes that were asked for, by bucket, and the stretches that are known to go."""
+    if not len(t) or not len(asked):
+        return _table([], *_PARTS_OF_BLOCKS)
+    block, t = t["block"][0].as_py(), _block(t)
+    data, off, _ = _texts(t)
+    none = np.empty(0, np.int64)
+    rows, gone, windows = [], [(none, none)], [(none, none)]
+
+    def send(b: int, place: np.ndarray, head: np.ndarray, size: np.ndarray, who: np.ndarray, part: np.ndarray) -> None:
+        lead = place[head]  # one copy of the bytes for all places of an equal segment in one row
+        cut = np.repeat(lead - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        rows.append((b, block, 0, _pack(place=place.astype("<i8"), head=head, size=size.astype("<i8"), who=who.astype("<i8"), part=part.astype(np.uint8), text=data[cut])))
+
+    for b, kind, p in zip(asked["bucket"].to_pylist(), asked["kind"].to_pylist(), asked["payload"], strict=True):
+        if kind:
+            gone.append(tuple(_unpack(memoryview(p.as_buffer()), "<i8", "<i8")))
+            continue
+        s, n, place, head, v, size, who, hot = _unpack(memoryview(p.as_buffer()), "u1", "u1", "u1", "?", "<u4", "u1", "u1", "?")
+        s, n, place, size, who = (_from_planes(x, kind) for x, kind in ((s, "<u4"), (n, "<u4"), (place, "<u4"), (size, "<u4"), (who, "<i8")))
+        gone.append((s, n))
+        at = np.cumsum(head) - 1
+        cold, many = ~hot[at], size[at[hot[at]]] - width + 1
+        if cold.any():
+            send(b, place[cold], head[cold], size[~hot], who[~hot], v[~hot] % np.uint32(PARTS))
+        windows.append((np.repeat(place[~cold] - (np.cumsum(many) - many), many) + np.arange(many.sum()), np.repeat(who[at[~cold]], many)))
+    start, who = (np.concatenate(x) for x in zip(*windows, strict=True))
+    h = window_hashes(data, start, width)
+    order, head, later = _lowest(h, h, np.full(len(h), width), who, start)
+    gone.append((start[order[later]], np.full(int(later.sum()), width)))
+    order, head = order[~later], head[~later]
+    for b, at in _by_bucket((h[order] % np.uint64(buckets)).astype(np.int64)):
+        one = order[at[head[at]]]
+        send(b, start[order[at]], head[at], np.full(len(one), width), who[one], h[one] // np.uint64(buckets) % np.uint64(PARTS))
+    return _table([_gone(block, *(np.concatenate(x) for x in zip(*gone, strict=True)), off), *rows], *_PARTS_OF_BLOCKS)
 
 
 def _repeats(t: pa.Table, width: int) -> pa.Table:
@@ -448,9 +535,10 @@ def suffix_dedup(docs: DataFrame, keep: list[Column], key: str = "doc_id", text:
                       "id", F.xxhash64("data").alias("k"), "rec", "data")
     by_block = rows.groupBy("block")
     anchors = by_block.applyInArrow(lambda t: _anchors(t, width, kgram, buckets), "bucket int, block int, payload binary")
-    shared = anchors.groupBy("bucket").applyInArrow(lambda t: _shared(t, hot_blocks), "block int, bucket int, payload binary")
-    segments = by_block.cogroup(shared.groupBy("block")).applyInArrow(
-        lambda t, found: _segments(t, found, width, kgram, buckets), "bucket int, block int, kind int, payload binary")
+    shared = anchors.groupBy("bucket").applyInArrow(_shared, "block int, bucket int, payload binary")
+    hashes = by_block.cogroup(shared.groupBy("block")).applyInArrow(lambda t, found: _hashes(t, found, width, kgram, buckets), _PARTS_SCHEMA)
+    asked = hashes.groupBy("bucket").applyInArrow(lambda t: _asked(t, hot_blocks * BLOCK_SEGMENTS), _PARTS_SCHEMA)
+    segments = by_block.cogroup(asked.groupBy("block")).applyInArrow(lambda t, wanted: _segments(t, wanted, width, buckets), _PARTS_SCHEMA)
     gone = segments.groupBy("bucket").applyInArrow(lambda t: _repeats(t, width), "block int, payload binary")
     out = T.StructType([T.StructField("rec", rows.schema["rec"].dataType), T.StructField("id", T.LongType()),
                         T.StructField("kept", T.BinaryType()),

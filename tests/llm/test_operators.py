@@ -397,6 +397,46 @@ def test_suffix_dedup(spark, nothing, options):
     assert suffix_dedup.suffix_dedup(nothing, [F.col("doc_id")]).count() == 0
 
 
+def test_common_passage_is_sent_once():
+    """A passage of many blocks: its bytes go to one bucket once, and neither they nor single windows of every block."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage, blocks, buckets = word(1000), 40, 4
+    rows = [(i, word(300) + passage + word(300)) for i in range(blocks)]
+    tables = [pa.table({"block": pa.array([i], pa.int32()), "id": pa.array([i]), "k": pa.array([0]), "rec": pa.array([i]), "data": pa.array([x.encode()])})
+              for i, x in rows]
+
+    def by(column, parts):
+        t = pa.concat_tables(parts)
+        return [t.filter(pa.compute.equal(t[column], b)) for b in sorted(set(t[column].to_pylist()))]
+
+    def per_block(parts):
+        found = {t["block"][0].as_py(): t for t in by("block", parts)}
+        return [(t, found.get(t["block"][0].as_py(), parts[0].slice(0, 0))) for t in tables]
+
+    shared = [suffix_dedup._shared(t) for t in by("bucket", [suffix_dedup._anchors(t, 50, 20, buckets) for t in tables])]
+    hashes = [suffix_dedup._hashes(t, found, 50, 20, buckets) for t, found in per_block(shared)]
+    asked = [suffix_dedup._asked(t, 1000) for t in by("bucket", hashes)]
+    sent = [suffix_dedup._segments(t, found, 50, buckets) for t, found in per_block(asked)]
+    assert sum(len(p.as_py()) for t in sent for kind, p in zip(t["kind"], t["payload"], strict=True) if kind.as_py() == 0) < 20 * 1000 + 400 * blocks
+    gone = [suffix_dedup._repeats(t, 50) for t in by("bucket", sent)]
+    cut = [suffix_dedup._cut(t, found) for t, found in per_block(gone)]
+    got = [(t["id"][0].as_py(), t["kept"][0].as_py(), [(s["start"], s["length"]) for s in t["spans"][0].as_py()]) for t in cut]
+    assert sorted(got, key=str) == brute_dedup(rows)
+
+
+def test_anchors_of_many_segments(spark):
+    """Every shared anchor counts as one of too many different segments, so all is cut into windows."""
+    rng = random.Random(9)
+    parts = ["".join(rng.choice("abcd é") for _ in range(rng.randrange(45, 160))) for _ in range(6)]
+    rows = [(i, "".join(rng.choice([rng.choice(parts), "".join(rng.choice("abxyz") for _ in range(rng.randrange(0, 60))), "ha " * rng.randrange(0, 50)])
+                        for _ in range(rng.randrange(0, 7))), None, None) for i in range(60)]
+    rows += [(200, rows[5][1], None, None), (7, rows[9][1], None, None), (None, rows[9][1], None, None)]
+    out = suffix_dedup.suffix_dedup(documents(spark, rows), [F.col("doc_id")], block_bytes=2000, hot_blocks=0).collect()
+    got = sorted(((r.id, bytes(r.kept), [(s.start, s.length) for s in r.spans]) for r in out), key=str)
+    assert got == brute_dedup(rows)
+
+
 # ---------------------------------------------------------------- 10
 def test_mixing(spark, docs, nothing):
     out = mixing.mix(docs).collect()
